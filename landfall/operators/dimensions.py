@@ -106,19 +106,26 @@ def dim_airport(
     )
 
 
-def known_admissions(
+def listed_admissions(
     i94: DataFrame, states: CodeList, cities: CodeList, trim_keys=True
 ) -> DataFrame:
-    """Admissions with an address and a residence whose state and port are listed.
+    """Admissions whose state and port are listed; needs only these two columns.
 
-    Semi joins against small lists: Catalyst moves them below any join that built
-    ``i94``, so dropped rows never reach a shuffle.
+    A frame that still has to be joined should pass here first, so that dropped
+    rows never reach the shuffle.
     """
-    kept = i94.where(F.col("i94addr").isNotNull()).where(F.col("i94res").isNotNull())
+    kept = i94.where(F.col("i94addr").isNotNull())
     kept = keep_listed(kept, lookup_key("i94addr", trim_keys), states)
     return keep_listed(kept, lookup_key("i94port", trim_keys), cities)
 
 
+def known_admissions(
+    i94: DataFrame, states: CodeList, cities: CodeList, trim_keys=True
+) -> DataFrame:
+    """Admissions with a residence whose state and port are listed."""
+    return listed_admissions(i94.where(F.col("i94res").isNotNull()), states, cities, trim_keys)
+
+
 def dim_immigration(
     i94: DataFrame,
     states: CodeList,
@@ -128,8 +135,20 @@ def dim_immigration(
     trim_keys=True,
 ) -> DataFrame:
     """One row per kept admission with its codes spelled out."""
-    rows = known_admissions(i94, states, cities, trim_keys)
-    rows = decode(rows, L.code_key("i94res"), countries, "origin_country", on_unknown)
+    known = known_admissions(i94, states, cities, trim_keys)
+    return spell_out(known, states, cities, countries, on_unknown, trim_keys)
+
+
+def spell_out(
+    known: DataFrame,
+    states: CodeList,
+    cities: CodeList,
+    countries: CodeList,
+    on_unknown="null",
+    trim_keys=True,
+) -> DataFrame:
+    """The immigration dimension from admissions that passed ``known_admissions``."""
+    rows = decode(known, L.code_key("i94res"), countries, "origin_country", on_unknown)
     rows = decode(rows, lookup_key("i94addr", trim_keys), states, "dest_state_name")
     rows = decode(rows, lookup_key("i94port", trim_keys), cities, "city_port_name")
     return rows.select(

@@ -30,24 +30,25 @@ def counts_by_code(
     i94: DataFrame, states: CodeList, cities: CodeList, trim_keys=True
 ) -> DataFrame:
     """Kept admissions per (year, month, origin code, state code) as ``arrivals``."""
-    early = states.is_small and cities.is_small
-    if early:
-        i94 = known_admissions(i94, states, cities, trim_keys)
-    else:
-        i94 = i94.where("i94addr IS NOT NULL AND i94res IS NOT NULL")
-    coded = i94.select(
+    if states.is_small and cities.is_small:
+        return count_codes(known_admissions(i94, states, cities, trim_keys), trim_keys)
+    # Lists too big to broadcast meet the counted rows, never the raw ones.
+    given = i94.where("i94addr IS NOT NULL AND i94res IS NOT NULL")
+    port = lookup_key("i94port", trim_keys).alias("port_code")
+    counted = count_codes(given, trim_keys, port)
+    counted = keep_listed(counted, F.col("state_code"), states)
+    return add_up(keep_listed(counted, F.col("port_code"), cities), CODE_KEYS)
+
+
+def count_codes(known: DataFrame, trim_keys=True, *more) -> DataFrame:
+    """Arrivals per set of codes, for admissions that passed ``known_admissions``."""
+    return known.groupBy(
         L.as_int("i94yr").alias("year"),
         L.as_int("i94mon").alias("month"),
         L.code_key("i94res").alias("origin_code"),
         lookup_key("i94addr", trim_keys).alias("state_code"),
-        lookup_key("i94port", trim_keys).alias("port_code"),
-    )
-    if early:
-        return coded.groupBy(*CODE_KEYS).agg(F.count(F.lit(1)).alias("arrivals"))
-    # Lists too big to broadcast meet the counted rows, never the raw ones.
-    counted = coded.groupBy(*CODE_KEYS, "port_code").agg(F.count(F.lit(1)).alias("arrivals"))
-    counted = keep_listed(counted, F.col("state_code"), states)
-    return add_up(keep_listed(counted, F.col("port_code"), cities), CODE_KEYS)
+        *more,
+    ).agg(F.count(F.lit(1)).alias("arrivals"))
 
 
 def name_counts(

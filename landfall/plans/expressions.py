@@ -40,7 +40,7 @@ def project_rename(spark, sf):
 def with_columns(spark, sf):
     part = tables.table(spark, sf, "part").select("p_partkey", "p_size", "p_retailprice")
     country = F.when(F.col("p_size") % 10 == 0, "CA").otherwise("US")
-    region = F.concat(country, F.lit("-"), tables.numbered("S", F.col("p_partkey") % 25))
+    region = F.concat(country, F.lit("-"), tables.code_of("S", F.col("p_partkey"), 25))
     added = part.withColumns({"iso_country": country, "iso_region": region})
     # the second step replaces a column by its own suffix
     replaced = added.withColumns(

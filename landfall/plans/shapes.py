@@ -30,13 +30,25 @@ def code_lists(spark, sf):
     return tables.states(spark, sf), tables.cities(spark, sf), tables.countries(spark, sf)
 
 
+def known(spark, sf, first_day=None, end_day=None):
+    """Admissions that pass the filters, which run on the lines before their shuffle."""
+    states, cities, _ = code_lists(spark, sf)
+
+    def keep(lines):
+        return dimensions.listed_admissions(lines.where("has_residence"), states, cities)
+
+    rows = tables.admissions(spark, sf, first_day, end_day, keep)
+    return rows.where("i94res IS NOT NULL")
+
+
 def immigration(spark, sf):
-    return dimensions.dim_immigration(tables.admissions(spark, sf), *code_lists(spark, sf))
+    return dimensions.spell_out(known(spark, sf), *code_lists(spark, sf))
 
 
 def counts(spark, sf, first_day=None, end_day=None):
-    rows = tables.admissions(spark, sf, first_day, end_day)
-    return facts.arrival_counts(rows, *code_lists(spark, sf))
+    states, _, countries = code_lists(spark, sf)
+    counted = facts.count_codes(known(spark, sf, first_day, end_day))
+    return facts.name_counts(counted, states, countries)
 
 
 def fact_of(spark, sf, counted):
@@ -95,13 +107,19 @@ def port_lines(spark, sf):
         .otherwise(text(city, " INT''L ", state))
     )
     style = number % 7
-    line = (
-        F.when(style == 0, text("   ", code, " =  '", label, "'"))
-        .when(style == 1, text("   '", code, "'\t=\t'", label, "        '"))
-        .when(style == 2, text("   '", code, "'\t=\t'", label, "' "))
-        .when(style == 3, text("   '", code, " '\t\t=\t'", label, "'"))
-        .when(style == 4, text("\t'", code, "'='", label, "'"))
-        .when(style == 5, text("\t'", code, "'='", label, "' ;"))
-        .otherwise(text("   '", code, "' \t=\t'", label, "'"))
+    before = F.when(style == 0, "   ").when(style.isin(4, 5), "\t'").otherwise("   '")
+    between = (
+        F.when(style == 0, " =  '")
+        .when(style.isin(1, 2), "'\t=\t'")
+        .when(style == 3, " '\t\t=\t'")
+        .when(style.isin(4, 5), "'='")
+        .otherwise("' \t=\t'")
+    )
+    after = (
+        F.when(style == 1, "        '")
+        .when(style == 2, "' ")
+        .when(style == 5, "' ;")
+        .otherwise("'")
     )
+    line = text(before, code, between, label, after)
     return ports(spark, sf).select(line.alias("value"))

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from landfall.operators.lookups import CodeList, code_list
 from landfall.session import settle
@@ -25,14 +26,26 @@ RACE_OF_SEGMENT = {
     "MACHINERY": "White",
 }
 _lists: dict[tuple[str, str, str], CodeList] = {}
+_schemas: dict[tuple[str, str], StructType] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A whole table; its schema is read from the files once per session."""
+    path = f"{sf_dir}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _schemas:
+        _schemas[key] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[key]).parquet(path)
 
 
-def numbered(prefix, number, width=2) -> Column:
-    return F.concat(F.lit(prefix), F.lpad(number.cast("string"), width, "0"))
+def numbered(prefix, number) -> Column:
+    return F.concat(F.lit(prefix), F.lpad(number.cast("string"), 2, "0"))
+
+
+def code_of(prefix, number, kinds) -> Column:
+    """``numbered(prefix, number % kinds)``, picked from a constant list instead of built per row."""
+    codes = F.split(F.lit(",".join(f"{prefix}{i:02d}" for i in range(kinds))), ",")
+    return F.element_at(codes, (number % kinds + 1).cast("int"))
 
 
 def money(column) -> Column:
@@ -43,12 +56,12 @@ def admission_lines(spark, sf_dir) -> DataFrame:
     """Admissions without the residence, which needs the customer."""
     line = table(spark, sf_dir, "lineitem")
     part, ship = F.col("l_partkey"), F.col("l_shipdate")
-    address = numbered("S", F.col("l_suppkey") % 30)
+    address = code_of("S", F.col("l_suppkey"), 30)
     return line.select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("cicid"),
         F.year(ship).cast("double").alias("i94yr"),
         F.month(ship).cast("double").alias("i94mon"),
-        numbered("P", part % 40).alias("i94port"),
+        code_of("P", part, 40).alias("i94port"),
         F.when(part % 13 != 0, address).alias("i94addr"),
         (F.col("l_linenumber") % 4).cast("double").alias("i94mode"),
         (F.col("l_linenumber") % 3 + 1).cast("double").alias("i94visa"),
@@ -61,13 +74,18 @@ def admission_lines(spark, sf_dir) -> DataFrame:
     )
 
 
-def admissions(spark, sf_dir, first_day=None, end_day=None) -> DataFrame:
-    """Admissions in the shape of the extract, optionally of a range of days."""
+def admissions(spark, sf_dir, first_day=None, end_day=None, keep=None) -> DataFrame:
+    """Admissions in the shape of the extract, optionally of a range of days.
+
+    ``keep`` filters the lines before they are shuffled to their orders.
+    """
     lines = admission_lines(spark, sf_dir)
     if first_day is not None:
         lines = lines.where(F.col("l_shipdate") >= F.lit(first_day).cast("timestamp_ntz"))
     if end_day is not None:
         lines = lines.where(F.col("l_shipdate") < F.lit(end_day).cast("timestamp_ntz"))
+    if keep is not None:
+        lines = keep(lines)
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     homes = orders.join(customers, orders.o_custkey == customers.c_custkey)
@@ -133,7 +151,7 @@ def airports(spark, sf_dir) -> DataFrame:
         .when(F.col("p_type") == "MEDIUM", "medium_airport")
         .otherwise("heliport")
     )
-    region = F.concat(country, F.lit("-"), numbered("S", F.col("p_partkey") % 25))
+    region = F.concat(country, F.lit("-"), code_of("S", F.col("p_partkey"), 25))
     return table(spark, sf_dir, "part").select(
         kind.alias("type"),
         country.alias("iso_country"),
@@ -199,12 +217,12 @@ def _city_labels(spark, sf_dir):
         numbered("P", number).alias("code"),
         F.concat(F.lit("PORT "), number.cast("string")).alias("label"),
     )
-    return labels.distinct()
+    return settle(labels.distinct())
 
 
 def _list(spark, sf_dir, name, build) -> CodeList:
     """Each list is derived and checked once per session."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _lists:
-        _lists[key] = code_list(settle(build(spark, sf_dir)))
+        _lists[key] = code_list(build(spark, sf_dir))
     return _lists[key]
