@@ -8,9 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landfall.functions.codes import MODE_LABELS, OTHER_STATE, STATE_LABELS, VISA_LABELS
-
-# A list is broadcast while its text stays below this size; beyond it, joins shuffle.
-BROADCAST_BYTES = 8 * 1024 * 1024
+from landfall.operators.sizes import BROADCAST_BYTES
 
 
 class CodeList(NamedTuple):

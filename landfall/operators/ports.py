@@ -44,8 +44,8 @@ def split_city_state(ports: DataFrame, states: CodeList) -> DataFrame:
 
 def collapsed_into(ports: DataFrame) -> DataFrame:
     """Codes that were merged into another, with that code and its label."""
-    merged = ports.where(validity("label") == "collapsed").select(
+    merged = ports.select(
         "code", F.regexp_extract("label", SURVIVOR, 1).alias("into_code")
-    )
+    ).where("into_code <> ''")
     survivors = ports.select(F.col("code").alias("into_code"), F.col("label").alias("into_label"))
     return merged.join(survivors, "into_code", "left").select("code", "into_code", "into_label")

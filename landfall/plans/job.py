@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from landfall.functions.codes import STATE_ALIASES
 from landfall.operators import dimensions, facts, quality
 from landfall.operators.lookups import code_list, fixed_list
+from landfall.operators.sizes import small_side
 from landfall.plans import views
 from landfall.session import settle
 from landfall.sources import readers
@@ -68,10 +69,10 @@ def run_job(spark: SparkSession, cfg: JobConfig) -> JobResult:
     if cfg.year_only is not None:
         i94 = i94.where(f"i94yr = {float(cfg.year_only)}D")
 
-    demographics = settle(
+    demographics = small_side(
         dimensions.dim_demographics(readers.read_demographics(spark, cfg.demographics))
     )
-    temperature = settle(
+    temperature = small_side(
         dimensions.dim_temperature(
             readers.read_temperatures(spark, cfg.temperatures),
             names,
@@ -80,7 +81,7 @@ def run_job(spark: SparkSession, cfg: JobConfig) -> JobResult:
             aliases,
         )
     )
-    airport = settle(
+    airport = small_side(
         dimensions.dim_airport(
             readers.read_airports(spark, cfg.airports),
             cfg.airport_kind,

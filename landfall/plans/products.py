@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from landfall.functions import lenient as L
 from landfall.operators import dimensions, facts, lookups, quality
+from landfall.operators.sizes import small_side
 from landfall.plans import shapes
 from landfall.plans.catalog import query
 from landfall.session import scratch_path, settle
@@ -68,12 +69,9 @@ def join_airport(spark, sf):
     "SELECT * FROM star",
 )
 def star_join(spark, sf):
-    return facts.star_join(
-        shapes.immigration(spark, sf),
-        shapes.temperature(spark, sf),
-        shapes.demographics(spark, sf),
-        shapes.airport(spark, sf),
-    ).select("year", "month", *facts.COUNT_KEYS[2:], "cicid", *facts.CONTEXT)
+    rows = shapes.immigration(spark, sf)
+    joined = facts.star_join(rows, *shapes.dimensions_of_rows(spark, sf))
+    return joined.select(*facts.COUNT_KEYS, "cicid", *facts.CONTEXT)
 
 
 @query(
@@ -109,9 +107,10 @@ def join_strategy_equivalence(spark, sf):
     """The same join planned both ways; each side of the result is one strategy."""
     by_state = facts.add_up(shapes.counts(spark, sf), ["state_code", "month"])
     counted, temperature = settle(by_state), settle(shapes.temperature(spark, sf))
+    sides = {"broadcast": small_side(temperature), "merge": temperature.hint("merge")}
 
     def joined(strategy):
-        rows = facts.join_temperature(counted, temperature.hint(strategy))
+        rows = facts.join_temperature(counted, sides[strategy])
         summed = rows.groupBy("state_code", "month").agg(
             F.sum("arrivals").alias("arrivals"),
             F.max("avg_temp_fahrenheit").alias("avg_temp_fahrenheit"),
@@ -212,9 +211,7 @@ def dq_null_flags(spark, sf):
          (SELECT 1 FROM airport_d GROUP BY state HAVING count(*) > 1)""",
 )
 def dq_report(spark, sf):
-    temperature = settle(shapes.temperature(spark, sf))
-    demographics = settle(shapes.demographics(spark, sf))
-    airport = settle(shapes.airport(spark, sf))
+    temperature, demographics, airport = shapes.dimensions_of_rows(spark, sf)
     counted = shapes.counts(spark, sf)
     return quality.quality_report(
         facts.fact_arrivals(counted, temperature, demographics, airport),
@@ -239,7 +236,8 @@ def fact_by_year(spark, sf):
     """The whole fact by year, then one year built anew in place from its own admissions."""
     year = tables.TEMPERATURE_YEAR
     path = scratch_path(spark, "fact")
-    readers.write_fact(shapes.fact(spark, sf), path)
+    context = shapes.dimensions_of_rows(spark, sf)
+    readers.write_fact(facts.fact_arrivals(shapes.counts(spark, sf), *context), path)
     one_year = shapes.counts(spark, sf, f"{year}-01-01", f"{year + 1}-01-01")
-    readers.write_fact_years(shapes.fact_of(spark, sf, one_year), path)
+    readers.write_fact_years(facts.fact_arrivals(one_year, *context), path)
     return readers.read_fact(spark, path)

@@ -104,12 +104,7 @@ def sink_parquet_roundtrip(spark, sf):
 
 @query("sql_over_views", ["fact"], "SELECT * FROM fact")
 def sql_over_views(spark, sf):
-    views.register_views(
-        shapes.immigration(spark, sf),
-        shapes.temperature(spark, sf),
-        shapes.demographics(spark, sf),
-        shapes.airport(spark, sf),
-    )
+    views.register_views(shapes.immigration(spark, sf), *shapes.dimensions_of_rows(spark, sf))
     return views.fact_from_views(spark)
 
 

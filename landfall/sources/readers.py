@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from landfall import schemas
 
+# Tasks that share the months of the fact when it is written.
+WRITE_TASKS = 64
+
 
 def read_admissions(spark: SparkSession, path, fmt="parquet") -> DataFrame:
     """All extracts (monthly files or folders) under ``path``, as parquet or CSV."""
@@ -28,31 +31,13 @@ def read_temperatures(spark: SparkSession, path) -> DataFrame:
 
 
 def write_fact(fact: DataFrame, path) -> None:
-    """Overwrite ``path`` with the fact, one folder per year and month.
-
-    The rebalance hint lets AQE write few, even files: small months are merged
-    and a month that holds most rows is split.
-    """
-    (
-        fact.hint("rebalance", "year", "immigration_month")
-        .sortWithinPartitions("year", "immigration_month", "immigration_origin", "to_immigration_state")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy("year", "immigration_month")
-        .parquet(path)
-    )
+    """Overwrite ``path`` with the fact, one folder per year and month."""
+    _write(fact, path, "static")
 
 
 def write_fact_years(fact: DataFrame, path) -> None:
     """Replace only the (year, month) folders that occur in ``fact``."""
-    (
-        fact.hint("rebalance", "year", "immigration_month")
-        .sortWithinPartitions("year", "immigration_month", "immigration_origin", "to_immigration_state")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("year", "immigration_month")
-        .parquet(path)
-    )
+    _write(fact, path, "dynamic")
 
 
 def read_fact(spark: SparkSession, path) -> DataFrame:
@@ -60,6 +45,20 @@ def read_fact(spark: SparkSession, path) -> DataFrame:
     return fact.select(*schemas.FACT.fieldNames())
 
 
+def _write(fact, path, overwrite):
+    """One sorted file per month; months are at most countries x states rows."""
+    (
+        fact.repartition(WRITE_TASKS, "year", "immigration_month")
+        .sortWithinPartitions(
+            "year", "immigration_month", "immigration_origin", "to_immigration_state"
+        )
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", overwrite)
+        .partitionBy("year", "immigration_month")
+        .parquet(path)
+    )
+
+
 def _delimited(spark, path, schema, sep):
     """CSV by column name: the header decides which file column feeds which field."""
     raw = spark.read.option("header", True).option("sep", sep).csv(path)
