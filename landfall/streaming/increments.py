@@ -25,11 +25,15 @@ def add_increment(
     cities: CodeList,
     fmt="parquet",
     schema=schemas.I94,
+    trim_keys=True,
 ) -> None:
     """Count the extracts under ``landing`` that ``progress_path`` does not know yet."""
+    # so that the counts can be read before any extract has arrived
+    nothing = spark.createDataFrame([], COUNTS_SCHEMA)
+    nothing.write.mode("ignore").parquet(f"{counts_path}/batch=none")
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        counted = counts_by_code(batch, states, cities)
+        counted = counts_by_code(batch, states, cities, trim_keys)
         counted.write.mode("overwrite").parquet(f"{counts_path}/batch={batch_id}")
 
     reader = spark.readStream.schema(schema)

@@ -108,6 +108,26 @@ def test_increments_add_up_to_the_full_build(spark, golden, tmp_path):
     assert rows_of(saved_counts(spark, counts)) == full
 
 
+def test_run_with_saved_counts(spark, golden, files, tmp_path):
+    """A later run reads only what arrived since, and gives the full build's result."""
+    cfg = JobConfig(**files, saved_counts=str(tmp_path / "saved"))
+    assert rows_of(run_job(spark, cfg).fact) == Golden.fact
+    golden.admissions.withColumn("i94yr", F.lit(2017.0)).write.mode("append").parquet(
+        files["admissions"]
+    )
+    increased = rows_of(run_job(spark, cfg).fact)
+    files["output"] += "-full"
+    assert increased == rows_of(run_job(spark, JobConfig(**files)).fact)
+    assert len(increased) == 4
+
+
+def test_no_extract_yet(spark, golden, tmp_path):
+    (tmp_path / "in").mkdir()
+    paths = [str(tmp_path / name) for name in ("in", "counts", "progress")]
+    add_increment(spark, *paths, golden.states, golden.cities)
+    assert saved_counts(spark, paths[1]).count() == 0
+
+
 def test_command_line(files):
     argv = []
     for name, path in files.items():
