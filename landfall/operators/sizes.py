@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,3 +27,9 @@ def small_side(df: DataFrame, limit=BROADCAST_BYTES) -> DataFrame:
     """
     kept = settle(df)
     return F.broadcast(kept) if text_bytes(kept) <= limit else kept
+
+
+def small_sides(*frames: DataFrame) -> list[DataFrame]:
+    """``small_side`` of each frame, their jobs running side by side."""
+    with ThreadPoolExecutor(max_workers=len(frames)) as pool:
+        return list(pool.map(small_side, frames))

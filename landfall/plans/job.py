@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from landfall.functions.codes import STATE_ALIASES
 from landfall.operators import dimensions, facts, quality
 from landfall.operators.lookups import code_list, fixed_list
-from landfall.operators.sizes import small_side
+from landfall.operators.sizes import small_sides
 from landfall.plans import views
 from landfall.session import settle
 from landfall.sources import readers
@@ -73,25 +73,21 @@ def run_job(spark: SparkSession, cfg: JobConfig) -> JobResult:
     if cfg.year_only is not None:
         i94 = i94.where(f"i94yr = {float(cfg.year_only)}D")
 
-    demographics = small_side(
-        dimensions.dim_demographics(readers.read_demographics(spark, cfg.demographics))
-    )
-    temperature = small_side(
+    temperature, demographics, airport = small_sides(
         dimensions.dim_temperature(
             readers.read_temperatures(spark, cfg.temperatures),
             names,
             cfg.temperature_year,
             cfg.temperature_country,
             aliases,
-        )
-    )
-    airport = small_side(
+        ),
+        dimensions.dim_demographics(readers.read_demographics(spark, cfg.demographics)),
         dimensions.dim_airport(
             readers.read_airports(spark, cfg.airports),
             cfg.airport_kind,
             cfg.airport_country,
             cfg.state_code_length,
-        )
+        ),
     )
     immigration = dimensions.dim_immigration(
         i94, states, cities, countries, cfg.on_unknown, trim_keys

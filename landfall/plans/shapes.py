@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from landfall.functions import lenient as L
 from landfall.functions.codes import OTHER_STATE, STATE_LABELS
 from landfall.operators import dimensions, facts, lookups
-from landfall.operators.sizes import small_side
+from landfall.operators.sizes import small_sides
 from landfall.sources import tables
 
 
@@ -29,8 +29,7 @@ def airport(spark, sf):
 
 def dimensions_of_rows(spark, sf):
     """Temperature, demographics and airport, ready to meet row-level data."""
-    built = temperature(spark, sf), demographics(spark, sf), airport(spark, sf)
-    return [small_side(dimension) for dimension in built]
+    return small_sides(temperature(spark, sf), demographics(spark, sf), airport(spark, sf))
 
 
 def code_lists(spark, sf):

@@ -53,8 +53,16 @@ FACT = StructType(
 )
 
 
-def conform(df: DataFrame, schema: StructType) -> DataFrame:
-    """Only the columns of ``schema``, in its order and types; unreadable values become NULL."""
-    return df.select(
-        *[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields]
-    )
+def conform(df: DataFrame, schema: StructType, absent_is_null=False) -> DataFrame:
+    """Only the columns of ``schema``, in its order and types; unreadable values become NULL.
+
+    A column that ``df`` lacks is an error, or NULL with ``absent_is_null``.
+    """
+    present = {name.lower() for name in df.columns}
+
+    def column(field):
+        if absent_is_null and field.name.lower() not in present:
+            return F.lit(None).cast(field.dataType).alias(field.name)
+        return F.col(f"`{field.name}`").try_cast(field.dataType).alias(field.name)
+
+    return df.select(*[column(field) for field in schema.fields])

@@ -6,16 +6,32 @@ from pyspark.sql import DataFrame, SparkSession
 
 from landfall import schemas
 
+# A streamed folder forgets nothing: a file counts however old it is when it arrives.
+FILE_AGE = "36500d"
 # Tasks that share the months of the fact when it is written.
 WRITE_TASKS = 64
 
 
 def read_admissions(spark: SparkSession, path, fmt="parquet") -> DataFrame:
     """All extracts (monthly files or folders) under ``path``, as parquet or CSV."""
-    reader = spark.read.schema(schemas.I94)
     if fmt == "csv":
-        reader = reader.option("header", True)
-    return reader.format(fmt).load(path)
+        return schemas.conform(_text_columns(spark, path, ","), schemas.I94, absent_is_null=True)
+    return spark.read.schema(schemas.I94).format(fmt).load(path)
+
+
+def stream_admissions(spark: SparkSession, path, fmt="parquet") -> DataFrame:
+    """The same as a stream of the files that arrive under ``path``.
+
+    CSV columns are named by the header that is there at the start; a later file
+    with another header stops the stream.
+    """
+    stream = spark.readStream.option("maxFileAge", FILE_AGE)
+    if fmt == "csv":
+        header = _text_columns(spark, path, ",").schema
+        reader = stream.schema(header).option("header", True)
+        rows = reader.option("enforceSchema", False).csv(path)
+        return schemas.conform(rows, schemas.I94, absent_is_null=True)
+    return stream.schema(schemas.I94).format(fmt).load(path)
 
 
 def read_demographics(spark: SparkSession, path) -> DataFrame:
@@ -60,6 +76,15 @@ def _write(fact, path, overwrite):
 
 
 def _delimited(spark, path, schema, sep):
-    """CSV by column name: the header decides which file column feeds which field."""
-    raw = spark.read.option("header", True).option("sep", sep).csv(path)
-    return schemas.conform(raw, schema)
+    """CSV by column name, whatever else the file holds and in which order."""
+    return schemas.conform(_text_columns(spark, path, sep), schema)
+
+
+def _text_columns(spark, path, sep):
+    """Every column as text; files of one folder whose headers differ are an error."""
+    return (
+        spark.read.option("header", True)
+        .option("sep", sep)
+        .option("enforceSchema", False)
+        .csv(path)
+    )

@@ -9,9 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from landfall import schemas
 from landfall.operators.facts import CODE_KEYS, counts_by_code, merge_counts
 from landfall.operators.lookups import CodeList
+from landfall.sources.readers import stream_admissions
 
 COUNTS_SCHEMA = "year int, month int, origin_code string, state_code string, arrivals bigint"
 
@@ -24,7 +24,6 @@ def add_increment(
     states: CodeList,
     cities: CodeList,
     fmt="parquet",
-    schema=schemas.I94,
     trim_keys=True,
 ) -> None:
     """Count the extracts under ``landing`` that ``progress_path`` does not know yet."""
@@ -36,12 +35,8 @@ def add_increment(
         counted = counts_by_code(batch, states, cities, trim_keys)
         counted.write.mode("overwrite").parquet(f"{counts_path}/batch={batch_id}")
 
-    reader = spark.readStream.schema(schema)
-    if fmt == "csv":
-        reader = reader.option("header", True)
     query = (
-        reader.format(fmt)
-        .load(landing)
+        stream_admissions(spark, landing, fmt)
         .writeStream.foreachBatch(save)
         .option("checkpointLocation", progress_path)
         .trigger(availableNow=True)

@@ -80,6 +80,25 @@ def test_csv_extracts(spark, golden, tmp_path):
     assert rows_of(found) == rows_of(golden.admissions)
 
 
+def test_csv_extracts_by_name(spark, golden, tmp_path):
+    """Another column order, columns missing and one more; then a file with another header."""
+    used = ["i94addr", "i94port", "i94res", "i94mon", "i94yr", "cicid"]
+    rows = [[row[c] for c in used] + ["x"] for row in golden.admissions.collect()]
+    (tmp_path / "in").mkdir()
+    write_text(tmp_path / "in" / "a.csv", [*used, "extra"], rows)
+    found = readers.read_admissions(spark, str(tmp_path / "in"), "csv")
+    assert rows_of(found) == rows_of(golden.admissions)
+
+    paths = [str(tmp_path / name) for name in ("in", "counts", "progress")]
+    add_increment(spark, *paths, golden.states, golden.cities, fmt="csv")
+    full = facts.counts_by_code(golden.admissions, golden.states, golden.cities)
+    assert rows_of(saved_counts(spark, paths[1])) == rows_of(full)
+
+    write_text(tmp_path / "in" / "b.csv", ["extra", *used], [["x", *row[:-1]] for row in rows])
+    with pytest.raises(Exception, match="(?i)header"):
+        readers.read_admissions(spark, str(tmp_path / "in"), "csv").collect()
+
+
 def test_one_year_is_replaced_in_place(spark, golden, files, tmp_path):
     later = golden.admissions.withColumn("i94yr", F.lit(2017.0))
     later.write.mode("append").parquet(files["admissions"])
