@@ -53,7 +53,11 @@ def money(column) -> Column:
 
 
 def admission_lines(spark, sf_dir) -> DataFrame:
-    """Admissions without the residence, which needs the customer."""
+    """Admissions without the residence, which needs the customer.
+
+    Some addresses and residences are NULL and states S25 to S29 are unlisted, because
+    the tables themselves hold no such values for the filters to meet.
+    """
     line = table(spark, sf_dir, "lineitem")
     part, ship = F.col("l_partkey"), F.col("l_shipdate")
     address = code_of("S", F.col("l_suppkey"), 30)
@@ -211,6 +215,7 @@ def _country_labels(spark, sf_dir):
 
 
 def _city_labels(spark, sf_dir):
+    """Ports P00 to P29; the other ten stay unlisted, so that the port filter has rows to drop."""
     number = F.col("p_partkey") % 40
     part = table(spark, sf_dir, "part").where(number < 30)
     labels = part.select(
