@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from landfall.llm import exact, packing
+from landfall.llm import exact, leaks, packing
 
 QUERIES = {
+    "op2_decontamination": leaks.op2_decontamination,
     "op3_best_fit_packing": packing.op3_best_fit_packing,
     "op4_exact_dedup": exact.op4_exact_dedup,
 }
-ORACLES = {"op4_exact_dedup": exact.OP4_SQL}
+ORACLES = {
+    "op2_decontamination": leaks.OP2_SQL,
+    "op4_exact_dedup": exact.OP4_SQL,
+}
