@@ -28,7 +28,8 @@ def duplicate_classes(docs: DataFrame, key="doc_id", text="text") -> DataFrame:
     ``keep`` is the smallest key of the class. Keys are taken to be unique; rows with a
     null key count as rows but never become ``keep`` while another key is there.
     Each round groups (group, digit) with partial counts per task, saves the groups of
-    two and more, and joins them to the rows; a hot group is split by the skew join.
+    two and more, and joins them to the rows; a hot group is split by the skew join. The join
+    is always a merge join, so that the plan is the same at every size.
     The text travels once, rests only for rows that still share a group.
     """
     spark = docs.sparkSession
@@ -48,7 +49,7 @@ def duplicate_classes(docs: DataFrame, key="doc_id", text="text") -> DataFrame:
             break
         ended = F.octet_length("rest") <= width
         rows = saved(
-            split.join(groups, ["group", "digit"]).select(
+            split.join(groups.hint("merge"), ["group", "digit"]).select(
                 "key",
                 F.when(~ended, F.expr(f"substring(rest, {width + 1})")).alias("rest"),
                 F.col("keep").alias("group"),
