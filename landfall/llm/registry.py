@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from landfall.llm import exact, leaks, packing
+from landfall.llm import exact, leaks, packing, severity
 
 QUERIES = {
     "op2_decontamination": leaks.op2_decontamination,
     "op3_best_fit_packing": packing.op3_best_fit_packing,
     "op4_exact_dedup": exact.op4_exact_dedup,
+    "op9_toxicity": severity.op9_toxicity,
 }
 ORACLES = {
     "op2_decontamination": leaks.OP2_SQL,
