@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from landfall.llm import exact, leaks, packing, severity
+import corpus_pipeline
+from landfall.llm import exact, jaccard, leaks, packing, severity
 
 QUERIES = {
     "op2_decontamination": leaks.op2_decontamination,
     "op3_best_fit_packing": packing.op3_best_fit_packing,
     "op4_exact_dedup": exact.op4_exact_dedup,
     "op9_toxicity": severity.op9_toxicity,
+    "op10_ngram_jaccard_join": jaccard.op10_ngram_jaccard_join,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLES = {
     "op2_decontamination": leaks.OP2_SQL,
     "op4_exact_dedup": exact.OP4_SQL,
+    "op10_ngram_jaccard_join": jaccard.OP10_SQL,
 }
