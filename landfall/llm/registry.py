@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from landfall.llm import exact, jaccard, leaks, packing, severity
+from landfall.llm import exact, jaccard, leaks, lm, packing, severity
 
 QUERIES = {
+    "op1_lm_scoring": lm.op1_lm_scoring,
     "op2_decontamination": leaks.op2_decontamination,
     "op3_best_fit_packing": packing.op3_best_fit_packing,
     "op4_exact_dedup": exact.op4_exact_dedup,
