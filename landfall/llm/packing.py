@@ -10,9 +10,9 @@ from a prefix sum over (length, salt) counts, so equal lengths spread over all t
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections import defaultdict
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +24,7 @@ from landfall.llm.common import saved, ship
 
 SIZE = 4096
 END_ID = 1
-CACHE = 600_000  # words whose ids a worker remembers
+CACHE = 1_200_000  # words whose ids a worker remembers
 SALTS = 1024
 _tokenizers = {}
 
@@ -44,60 +44,58 @@ class WordTokenizer:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.known = {}
+        self.known = {"": b""}
 
     def encode(self, text):
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def learn(self, words):
+        """Encode words: runs of letters all at once, as each gives one end-of-word token; others singly."""
         if len(self.known) + len(words) > CACHE:
-            self.known = {}
-        known = self.known
-        tails, cores = [], set()
-        for word in words:
-            core = word.rstrip(".,;:!?|")
-            # a run of letters and then of these signs are two tokens' worth, never joined
-            if core.isalpha() and max(core) < "ɐ":
-                if core not in known:
-                    cores.add(core)
-                if core != word:
-                    tails.append((word, core, word[len(core) :]))
-            else:
-                known[word] = self.encode(word)
-        if cores:
-            cores = list(cores)
-            ids = np.array(
-                self.tokenizer.encode(" ".join(cores), add_special_tokens=False).ids, "<u4"
-            )
-            cuts = (np.flatnonzero(self.ends[ids]) + 1).tolist()
-            if len(cuts) != len(cores):
+            self.known = {"": b""}
+        letters = [w for w in words if w.isalpha() and max(w) < "ɐ"]
+        if letters:
+            ids = np.array(self.tokenizer.encode(" ".join(letters), add_special_tokens=False).ids, "<u4")
+            cuts = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            if len(cuts) != len(letters):
                 raise ValueError("the tokenizer does not end each word with an end-of-word token")
-            raw, at = ids.tobytes(), 0
-            for core, to in zip(cores, cuts):
-                known[core] = raw[4 * at : 4 * to]
-                at = to
-        for word, core, tail in tails:
-            if tail not in known:
-                known[tail] = self.encode(tail)
-            known[word] = known[core] + known[tail]
+            raw = ids.tobytes()
+            self.known.update(zip(letters, [raw[i:j] for i, j in zip([0, *cuts], cuts)]))
+        for word in words.difference(letters):
+            self.known[word] = self.encode(word)
 
     def ids(self, texts):
         """Little-endian unsigned 32-bit ids of each text, as bytes."""
-        split = [text.translate(_SPACES).split(" ") for text in texts]
-        missing = set(chain.from_iterable(split)).difference(self.known)
-        missing.discard("")
-        if missing:
+        split = [separated(text) for text in texts]
+        found = [list(map(self.known.get, words)) for words in split]
+        open_texts = [i for i, ids in enumerate(found) if None in ids]
+        if open_texts:
+            missing = {w for i in open_texts for w, ids in zip(split[i], found[i]) if ids is None}
             self.learn(missing)
-            missing = set(chain.from_iterable(split)).difference(self.known)
-            missing.discard("")
-            if missing:  # the memory was emptied while it learned
-                self.learn(set(chain.from_iterable(split)) - {""})
-        known = self.known
-        known[""] = b""
-        return [b"".join([known[word] for word in words]) for words in split]
+            for i in open_texts:
+                found[i] = list(map(self.known.get, split[i]))
+                if None in found[i]:  # the memory was emptied meanwhile
+                    self.learn({w for w, ids in zip(split[i], found[i]) if ids is None})
+                    found[i] = [self.known.get(w) or self.encode(w) for w in split[i]]
+        return list(map(b"".join, found))
+
+
+def separated(text):
+    """Words between ASCII white space; in Latin-1 texts in lower case, and signs after a last letter apart.
+
+    The tokenizer itself lowers letters and never joins a letter and a sign in one token.
+    """
+    for space in "\t\n\x0b\x0c\r":
+        if space in text:
+            text = text.replace(space, " ")
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return text.split(" ")
+    return _LAST_SIGNS.sub(r" \1", text.lower()).split(" ")
 
 
-_SPACES = dict.fromkeys(range(0x09, 0x0E), " ")
+_LAST_SIGNS = re.compile("(?<=[a-zß-öø-ÿ])([.,;:!?]+)(?= |$)")
 
 
 def _tokenizer(path):
