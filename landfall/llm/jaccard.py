@@ -8,10 +8,11 @@ the prefix reaches frequent tokens, these fall into groups by hash; the prefix g
 indexed: T(n) misses cannot break every one of them, so partners share an entry.
 
 Texts that share an entry meet at its smallest key, the leader, once per leader. There their
-prefixes are compared, exactly bounding what a pair can share; who still has a
-possible partner comes back with the whole set and is compared exactly. Large leader
-groups are cut into blocks, and each pair of blocks is a task's work. Only a spanning
-forest of the links leaves a task.
+prefixes are compared, exactly bounding what a pair can share. Who still has a possible partner
+is compared exactly, by the difference of its set to that of a centre, the smallest
+key of its component of possible pairs: for two sets x, y and a centre c, x ^ y equals
+(x ^ c) ^ (y ^ c), and among near copies these differences are short. Large leader groups are cut into
+blocks, and each pair of blocks is a task's work. Only a spanning forest of the links leaves a task.
 """
 
 from __future__ import annotations
@@ -213,7 +214,7 @@ def lists_of(column):
 
 
 def grouped_overlaps(table, starts, column):
-    """Per group: its first row and the overlapping pairs of its rows."""
+    """The overlapping pairs of rows of each group."""
     values, n = lists_of(table.column(column))
     ends = np.concatenate([[0], np.cumsum(n)])
     light, weights = [], 0
@@ -227,7 +228,7 @@ def grouped_overlaps(table, starts, column):
             with np.errstate(over="ignore"):
                 token = mix(token ^ mix(number[owner].astype(np.uint64)))
         a, b, shared = overlaps(owner, token, high - low)
-        return low, a + low, b + low, shared
+        return a + low, b + low, shared
 
     for low, high in zip(starts[:-1].tolist(), starts[1:].tolist()):
         if high - low > 256:
@@ -291,7 +292,7 @@ def meet(members: DataFrame, content: DataFrame, column: str, work, schema: str)
             F.greatest("block", "other").alias("j"),
             "row",
         )
-        .join(content.select("row", "n", column).hint("merge"), "row")
+        .join(content.hint("merge"), "row")
     )
     keys = ["leader", "i", "j"]
     return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(work, schema)
@@ -356,14 +357,13 @@ def similar_links(docs: DataFrame, words: int, percent: int, frequent=FREQUENT):
     )
 
     def possible(batches):
-        """Who has a possible partner by size and prefix."""
+        """Links of rows that may be similar by size and prefix."""
         for table, starts in batches_by_group(batches, ["leader", "i", "j"]):
             n = table.column("n").to_numpy()
             values, sizes = lists_of(table.column("prefix"))
             begins = np.cumsum(sizes) - sizes
             last = values[begins + sizes - 1]
-            alive = np.zeros(table.num_rows, bool)
-            for _, a, b, both in grouped_overlaps(table, starts, "prefix"):
+            for a, b, both in grouped_overlaps(table, starts, "prefix"):
                 fits = 100 * np.minimum(n[a], n[b]) >= percent * np.maximum(n[a], n[b])
                 a, b, both = a[fits], b[fits], both[fits]
                 bound = np.minimum(last[a], last[b])
@@ -371,46 +371,95 @@ def similar_links(docs: DataFrame, words: int, percent: int, frequent=FREQUENT):
                 for side in (a, b):
                     apart = apart + counts_up_to(values, begins, sizes, side, bound)
                 near = (100 + percent) * apart <= (100 - percent) * (n[a] + n[b])
-                alive[a[near]] = alive[b[near]] = True
-            yield from table.select(["leader", "row"]).filter(pa.array(alive)).to_batches()
+                yield from named_links(table, forest(a[near], b[near]), True)
 
-    alive = saved(
-        meet(met, reps.drop("entries"), "prefix", possible,
-             f"leader {kind}, row {kind}").distinct(),
-        "possible",
-    )
+    maybe = saved(
+        meet(met, reps.drop("entries"), "prefix", possible, f"leader {kind}, a {kind}, b {kind}").distinct(),
+        "possible-links",
+    )
+    alive = maybe.select("leader", F.explode(F.array("a", "b")).alias("row")).distinct()
+    centres = saved(components(maybe.select("a", "b")), "centres")  # (key, component)
 
     def sets(batches):
         for batch in batches:
             found = [marks.value.mark(t).view(np.int64) for t in distinct_sets(batch.column(1), words)]
-            n = pa.array([len(t) for t in found], pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), n, n, pa.array(found, pa.list_(pa.int64()))],
-                names=["row", "n", "weight", "tokens"],
+                [batch.column(0), batch.column(2), pa.array(found, pa.list_(pa.int64()))],
+                names=["row", "centre", "tokens"],
             )
 
-    wanted = alive.select(F.col("row").alias("key")).distinct()
     content = saved(
         docs.select("key", "text")
-        .join(wanted.hint("merge"), "key", "left_semi")
-        .mapInArrow(sets, f"row {kind}, n long, weight long, tokens array<long>"),
+        .join(centres.hint("merge"), "key")
+        .select("key", "text", "component")
+        .mapInArrow(sets, f"row {kind}, centre {kind}, tokens array<long>"),
         "shingle-sets",
     )
 
+    def differences(batches):
+        for batch in batches:
+            n = batch.column(2).value_lengths()
+            apart = []
+            for tokens, centre in zip(each_list(batch.column(2)), each_list(batch.column(3))):
+                apart.append(np.setxor1d(tokens, centre, assume_unique=True).view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), n.cast(pa.int64()),
+                 pa.array([len(x) for x in apart], pa.int64()), pa.array(apart, pa.list_(pa.int64()))],
+                names=["row", "centre", "n", "weight", "apart"],
+            )
+
+    middle = content.where("row = centre").select("centre", F.col("tokens").alias("middle"))
+    apart = saved(
+        content.join(middle.hint("merge"), "centre")
+        .select("row", "centre", "tokens", "middle")
+        .mapInArrow(differences, f"row {kind}, centre {kind}, n long, weight long, apart array<long>"),
+        "differences",
+    )
+
     def linked(batches):
         for table, starts in batches_by_group(batches, ["leader", "i", "j"]):
-            n, names = table.column("n").to_numpy(), table.column("row").combine_chunks()
-            for _, a, b, both in grouped_overlaps(table, starts, "tokens"):
-                near = 100 * both >= percent * (n[a] + n[b] - both)
-                kept = forest(a[near], b[near])
-                if kept:
-                    ends = np.array(kept, np.int64)
-                    yield pa.RecordBatch.from_arrays(
-                        [names.take(pa.array(ends[:, 0])), names.take(pa.array(ends[:, 1]))], names=["a", "b"]
-                    )
-
-    links = saved(meet(alive, content, "tokens", linked, f"a {kind}, b {kind}").distinct(), "set-links")
-    return links, members
+            n, d = table.column("n").to_numpy(), table.column("weight").to_numpy()
+            centre = table.column("centre").to_numpy()
+            # sizes alone link those near the centre, all with the nearest
+            excess = (100 + percent) * d - (100 - percent) * n
+            group = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
+            order = np.lexsort((excess, centre, group))
+            first = np.ones(len(order), bool)
+            first[1:] = (np.diff(group[order]) != 0) | (centre[order][1:] != centre[order][:-1])
+            nearest = order[heads_of(first)]
+            close = excess[order] + excess[nearest] <= 0
+            yield from named_links(table, forest(nearest[close], order[close]))
+            for a, b, both in grouped_overlaps(table, starts, "apart"):
+                shared = (n[a] + n[b] - d[a] - d[b]) // 2 + both
+                near = (centre[a] == centre[b]) & (100 * shared >= percent * (n[a] + n[b] - shared))
+                yield from named_links(table, forest(a[near], b[near]))
+
+    links = meet(alive, apart, "apart", linked, f"a {kind}, b {kind}").where("a <> b").distinct()
+    return saved(links, "set-links"), members
+
+
+def heads_of(first):
+    """The place of the last mark at or before each place."""
+    return np.maximum.accumulate(np.where(first, np.arange(len(first)), 0))
+
+
+def each_list(column):
+    values, sizes = lists_of(column)
+    ends = np.cumsum(sizes)
+    return [values[a:b] for a, b in zip((ends - sizes).tolist(), ends.tolist())]
+
+
+def named_links(table, links, with_leader=False):
+    """Links of rows as a batch of their keys."""
+    if not links:
+        return
+    ends = np.array(links, np.int64)
+    columns = {}
+    if with_leader:
+        columns["leader"] = table.column("leader").take(pa.array(ends[:, 0]))
+    for k, name in enumerate("ab"):
+        columns[name] = table.column("row").take(pa.array(ends[:, k]))
+    yield from pa.table(columns).to_batches()
 
 
 def counts_up_to(values, begins, sizes, rows, bounds):
