@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 from landfall.llm.common import SPACED_WORD, mix, saved, ship, word_hashes
 from landfall.session import scratch_path
 
-SLAB = 4_000_000  # tokens counted at once, and bigram tokens to a shard
+SLAB = 2_000_000  # tokens counted at once
+SHARD_TOKENS = 4_000_000  # bigram tokens to a shard
 SHARD_WORDS = 1 << 21
 RANGE_BITS = 18  # word statistics are summed by ranges of so many numbers
 END = np.uint64(0xE4D0F7E87)  # the hash of the end of a text
@@ -266,7 +267,7 @@ def train(docs: DataFrame, text="text") -> Model:
     offsets = np.cumsum(offsets)
     if len(offsets) and offsets[-1] >= 1 << 32:
         raise ValueError("more than 2**32 words need wider bigram keys")
-    shards = max(1, -(-tokens // SLAB))
+    shards = max(1, -(-tokens // SHARD_TOKENS))
     model = Model(folder, Vocabulary(folder, bits, offsets), tokens, docs.count(), shards, max(1, tokens // (4 * shards)))
 
     def count_bigrams(batches):
@@ -376,8 +377,8 @@ def score(docs: DataFrame, model: Model, key="doc_id", text="text") -> DataFrame
         model = held.value
         spread = np.log10(model.tokens + model.vocabulary.size + 1.0)
         for batch in batches:
-            for at in range(0, len(batch), 2048):
-                part = batch.slice(at, 2048)
+            for at in range(0, len(batch), 1024):
+                part = batch.slice(at, 1024)
                 number, count, context, context_count, n = model.tokenised(part.column(1))
                 first = np.cumsum(n) - n
                 base = np.log10(count + 1.0) - spread
