@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from landfall.llm import exact, jaccard, langid, leaks, lm, packing, severity
+from landfall.llm import chunks, exact, jaccard, langid, leaks, lm, packing, quotes, severity
 
 QUERIES = {
     "op1_lm_scoring": lm.op1_lm_scoring,
     "op2_decontamination": leaks.op2_decontamination,
     "op3_best_fit_packing": packing.op3_best_fit_packing,
     "op4_exact_dedup": exact.op4_exact_dedup,
+    "op5_quotation_linking": quotes.op5_quotation_linking,
+    "op7_substring_dedup": chunks.op7_substring_dedup,
     "op8_language_id": langid.op8_language_id,
     "op9_toxicity": severity.op9_toxicity,
     "op10_ngram_jaccard_join": jaccard.op10_ngram_jaccard_join,
