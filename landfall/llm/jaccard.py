@@ -26,7 +26,7 @@ from landfall.llm.common import SPACED_WORD, mix, saved, ship, word_hashes
 from landfall.llm.components import components
 
 FREQUENT = 1_000_000  # at most so many tokens are frequent; 8 bytes each are broadcast
-SLAB = 4_000_000  # shingles counted at once
+SLAB = 2_000_000  # shingles counted at once
 GROUP_TOKENS = 4  # frequent tokens of a prefix to a group, about
 BLOCK_ROWS = 1_024
 BLOCK_TOKENS = 1 << 21
@@ -55,10 +55,12 @@ def shingle_sets(column: pa.Array, words: int):
 
 
 def distinct_sets(column: pa.Array, words: int):
-    """The sorted distinct shingle hashes of each text."""
-    found, n = shingle_sets(column, words)
-    ends = np.cumsum(n)
-    return [np.unique(found[a:b]) for a, b in zip((ends - n).tolist(), ends.tolist())]
+    """The sorted distinct shingle hashes of each text, hashed a few hundred texts at a time."""
+    for at in range(0, len(column), 256):
+        found, n = shingle_sets(column.slice(at, 256), words)
+        ends = np.cumsum(n)
+        for a, b in zip((ends - n).tolist(), ends.tolist()):
+            yield np.unique(found[a:b])
 
 
 class Frequent:
@@ -117,16 +119,19 @@ def frequent_tokens(docs: DataFrame, words: int, limit: int) -> np.ndarray:
 
 
 def entries(tokens: np.ndarray, percent: int):
-    """The prefix of a marked set, and the index entries of its tokens and token pairs."""
+    """The prefix of a marked set, and the index entries of its pairs of frequent tokens.
+
+    The rare tokens of the prefix are entries themselves; those of pairs have the top bit.
+    """
     n = len(tokens)
     if n < 2:  # has no partner but its own copies
         return tokens, tokens[:0]
     need = n - -(-percent * n // 100) + 1
     rare = int(np.searchsorted(tokens, TOP))
     if rare >= need:
-        return tokens[:need], mix(tokens[:need])
+        return tokens[:need], tokens[:0]
     frequent, to = tokens[rare:], 0
-    found = [mix(tokens[:rare])]
+    found = [tokens[:0]]
     # partners of up to n * 100 / percent shingles may use the groups of the next size
     levels = {(-(-percent * n // 100)).bit_length(), n.bit_length(), (100 * n // percent).bit_length()}
     for level in levels:
@@ -144,7 +149,7 @@ def entries(tokens: np.ndarray, percent: int):
             same = group[shift:] == group[:-shift]
             a, b = used[:-shift][same], used[shift:][same]
             with np.errstate(over="ignore"):
-                found.append(mix(mix(a + np.uint64(level)) * np.uint64(3) + b))
+                found.append(mix(mix(a + np.uint64(level)) * np.uint64(3) + b) | TOP)
     return tokens[: rare + to], np.concatenate(found)
 
 
@@ -344,7 +349,8 @@ def similar_links(docs: DataFrame, words: int, percent: int, frequent=FREQUENT):
         .select("row", "n", F.size("prefix").cast("long").alias("weight"), "prefix", "entries"),
         "representatives",
     )
-    posted = reps.select("row", F.explode("entries").alias("entry"))
+    rare = F.filter("prefix", lambda token: token >= 0)  # the top bit is the sign
+    posted = reps.select("row", F.explode(F.concat(rare, "entries")).alias("entry"))
     shared = saved(
         posted.groupBy("entry")
         .agg(F.min("row").alias("leader"), F.max("row").alias("last"))
