@@ -118,9 +118,9 @@ def linked(messages: DataFrame, conversation="conv_id", turn="turn", role="role"
         if longer.where("moved").isEmpty():
             break
     own = F.filter("lines", lambda x: x["level"] == 0)
-    body = F.trim(
-        F.regexp_replace(F.array_join(F.transform(own, lambda x: x["content"]), "\n"), r"(?m)^On .{1,200} wrote:[ \t]*$\n?", "")
-    )
+    body = F.array_join(F.transform(own, lambda x: x["content"]), "\n")
+    body = F.regexp_replace(body, r"(?m)^On .{1,200} wrote:[ \t]*$\n?", "")
+    body = F.regexp_replace(body, r"^\s+|\s+$", "")
     quotes = F.size(F.filter("runs", lambda x: x["level"] > 0))
     # without quotes a line "On ... wrote:" is ordinary text
     body = F.when(quotes > 0, body).otherwise(F.coalesce("text", F.lit("")))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from landfall.llm import chunks, exact, jaccard, langid, leaks, lm, packing, quotes, severity
+from landfall.llm import chunks, exact, jaccard, langid, leaks, linejoin, lm, packing, quotes, severity
 
 QUERIES = {
     "op1_lm_scoring": lm.op1_lm_scoring,
@@ -11,6 +11,7 @@ QUERIES = {
     "op3_best_fit_packing": packing.op3_best_fit_packing,
     "op4_exact_dedup": exact.op4_exact_dedup,
     "op5_quotation_linking": quotes.op5_quotation_linking,
+    "op6_line_dedup": linejoin.op6_line_dedup,
     "op7_substring_dedup": chunks.op7_substring_dedup,
     "op8_language_id": langid.op8_language_id,
     "op9_toxicity": severity.op9_toxicity,
@@ -20,5 +21,6 @@ QUERIES = {
 ORACLES = {
     "op2_decontamination": leaks.OP2_SQL,
     "op4_exact_dedup": exact.OP4_SQL,
+    "op6_line_dedup": linejoin.OP6_SQL,
     "op10_ngram_jaccard_join": jaccard.OP10_SQL,
 }
