@@ -152,6 +152,8 @@ class Model:
     def statistics(self, number):
         """Rows of (contexts before, followers seen once, twice, more often) of known words."""
         found = np.zeros((len(number), 4), np.int64)
+        if not self.bigrams:
+            return found
         block = number >> RANGE_BITS
         for b in np.unique(block[number >= 0]).tolist():
             here = block == b
