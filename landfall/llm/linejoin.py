@@ -57,13 +57,16 @@ def probe_entries(line, errors):
     return F.array(*found)
 
 
-def within_distance(a, b, errors):
-    """Whether the edit distance of two strings is at most ``errors``.
+def characters(line):
+    return F.transform(F.sequence(F.lit(1), F.length(line)), lambda i: F.substring(line, i, F.lit(1)))
+
+
+def within_distance(chars_a, chars_b, errors):
+    """Whether the edit distance of two strings, given as stored arrays of characters, is at most ``errors``.
 
     Bit d of mask e: after j characters of b, j + d - errors of a can be reached with at most e errors.
     """
     band = (1 << 2 * errors + 1) - 1
-    chars_a, chars_b = F.split(a, ""), F.split(b, "")
 
     def step(state, j):
         match = F.lit(0)
@@ -83,9 +86,8 @@ def within_distance(a, b, errors):
     for e in range(errors + 1):
         masks.append(begin if not e else (masks[-1] | masks[-1] << 1) & band)
     start = F.struct(*(F.lit(mask).alias(f"e{e}") for e, mask in enumerate(masks)))
-    steps = F.filter(F.sequence(F.lit(0), F.length(b)), lambda j: j < F.length(b))
-    last = F.aggregate(steps, start, step)[f"e{errors}"]
-    apart = F.length(a) - F.length(b)
+    last = F.aggregate(F.sequence(F.lit(0), F.size(chars_b) - 1), start, step)[f"e{errors}"]
+    apart = F.size(chars_a) - F.size(chars_b)
     reached = F.element_at(
         F.array(*(last.bitwiseAND(F.lit(1 << d)) for d in range(2 * errors + 1))),
         F.greatest(F.least(apart, F.lit(errors)), F.lit(-errors)) + (errors + 1),
@@ -125,13 +127,14 @@ def similar_lines(docs: DataFrame, key="doc_id", text="text", errors=ERRORS, lea
         rows.select(digest.alias("digest"), "line")
         .join(wanted.select(F.col("line").alias("digest")).hint("merge"), "digest", "left_semi")
         .groupBy("digest")
-        .agg(F.min("line").alias("line")),
+        .agg(F.min("line").alias("line"))
+        .select("digest", characters(F.col("line")).alias("chars")),
         "candidate-lines",
     )
     for side in ("a", "b"):
-        named = texts.select(F.col("digest").alias(side), F.col("line").alias(f"{side}_line"))
+        named = texts.select(F.col("digest").alias(side), F.col("chars").alias(f"{side}_chars"))
         pairs = pairs.join(named, side)
-    links = pairs.where(within_distance(F.col("a_line"), F.col("b_line"), errors)).select("a", "b")
+    links = pairs.where(within_distance(F.col("a_chars"), F.col("b_chars"), errors)).select("a", "b")
     return lines.select("line", "first", "n"), saved(links, "line-links")
 
 
