@@ -17,6 +17,8 @@ blocks, and each pair of blocks is a task's work. Only a spanning forest of the
 
 from __future__ import annotations
 
+from bisect import bisect_right
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -28,8 +30,10 @@ from landfall.llm.components import components
 FREQUENT = 1_000_000  # at most so many tokens are frequent; 8 bytes each are broadcast
 SLAB = 2_000_000  # shingles counted at once
 GROUP_TOKENS = 4  # frequent tokens of a prefix to a group, about
-BLOCK_ROWS = 1_024
+BLOCK_ROWS = 512
 BLOCK_TOKENS = 1 << 21
+#: Sizes from which a new class begins; entries of texts of unlike size do not meet.
+SIZES = sorted({max(k, int(1.5**k)) for k in range(1, 90)})
 DENSE = 2_000_000  # pairs of entries from which a group is multiplied as a matrix
 TOP = np.uint64(1 << 63)
 
@@ -118,10 +122,15 @@ def frequent_tokens(docs: DataFrame, words: int, limit: int) -> np.ndarray:
     return often.toArrow().column(0).to_numpy().astype(np.int64).view(np.uint64)
 
 
+def sizes_of(n: int, percent: int) -> list[int]:
+    """The size classes that partners of a set of n may be in; two partners have one in common."""
+    return list(range(bisect_right(SIZES, -(-percent * n // 100)), bisect_right(SIZES, 100 * n // percent) + 1))
+
+
 def entries(tokens: np.ndarray, percent: int):
     """The prefix of a marked set, and the index entries of its pairs of frequent tokens.
 
-    The rare tokens of the prefix are entries themselves; those of pairs have the top bit.
+    The rare tokens of the prefix become entries by size class later on; pairs are so here.
     """
     n = len(tokens)
     if n < 2:  # has no partner but its own copies
@@ -132,10 +141,8 @@ def entries(tokens: np.ndarray, percent: int):
         return tokens[:need], tokens[:0]
     frequent, to = tokens[rare:], 0
     found = [tokens[:0]]
-    # partners of up to n * 100 / percent shingles may use the groups of the next size
-    levels = {(-(-percent * n // 100)).bit_length(), n.bit_length(), (100 * n // percent).bit_length()}
-    for level in levels:
-        groups = max(1, (100 - percent) * (1 << level - 1) // (100 * GROUP_TOKENS))
+    for level in sizes_of(n, percent):
+        groups = max(1, (100 - percent) * SIZES[level - 1] // (100 * GROUP_TOKENS))
         group = (mix(frequent) % np.uint64(groups)).astype(np.int64)
         again = np.ones(len(frequent), np.int64)
         again[np.unique(group, return_index=True)[1]] = 0
@@ -191,7 +198,7 @@ def batches_by_group(batches, columns):
     for batch in batches:
         table = pa.Table.from_batches([batch])
         held = table if held is None else pa.concat_tables([held, table])
-        if held.num_rows < 4096 and held.nbytes < 64 << 20:
+        if held.num_rows < 2048 and held.nbytes < 16 << 20:
             continue
         change = group_starts(held, columns)
         if change[-1] > 0:
@@ -311,7 +318,7 @@ def similar_links(docs: DataFrame, words: int, percent: int, frequent=FREQUENT):
 
     def index(batches):
         for batch in batches:
-            n, one, two, prefixes, found = [], [], [], [], []
+            n, one, two, prefixes, found, levels = [], [], [], [], [], []
             for tokens in distinct_sets(batch.column(1), words):
                 n.append(len(tokens))
                 with np.errstate(over="ignore"):
@@ -320,18 +327,20 @@ def similar_links(docs: DataFrame, words: int, percent: int, frequent=FREQUENT):
                 prefix, entry = entries(marks.value.mark(tokens), percent)
                 prefixes.append(prefix.view(np.int64))
                 found.append(entry.view(np.int64))
+                levels.append(sizes_of(len(tokens), percent))
             longs = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()),
-                 pa.array(prefixes, longs), pa.array(found, longs)],
-                names=["row", "n", "one", "two", "prefix", "entries"],
+                 pa.array(levels, pa.list_(pa.int32())), pa.array(prefixes, longs), pa.array(found, longs)],
+                names=["row", "n", "one", "two", "levels", "prefix", "entries"],
             )
 
     kind = docs.schema["key"].dataType.simpleString()
     rows = saved(
         docs.select("key", "text").mapInArrow(
             index,
-            f"row {kind}, n long, one long, two long, prefix array<long>, entries array<long>",
+            f"row {kind}, n long, one long, two long, levels array<int>, prefix array<long>, "
+            "entries array<long>",
         ),
         "shingle-index",
     )
@@ -346,11 +355,14 @@ def similar_links(docs: DataFrame, words: int, percent: int, frequent=FREQUENT):
     reps = saved(
         rows.where("n > 1")
         .join(classes.select(F.col("rep").alias("row")).hint("merge"), "row", "left_semi")
-        .select("row", "n", F.size("prefix").cast("long").alias("weight"), "prefix", "entries"),
+        .select("row", "n", F.size("prefix").cast("long").alias("weight"), "levels", "prefix", "entries"),
         "representatives",
     )
     rare = F.filter("prefix", lambda token: token >= 0)  # the top bit is the sign
-    posted = reps.select("row", F.explode(F.concat(rare, "entries")).alias("entry"))
+    singles = reps.select("row", "levels", F.explode(rare).alias("token"))
+    singles = singles.select("row", "token", F.explode("levels").alias("level"))
+    pairs = reps.select("row", F.explode("entries").alias("entry"))
+    posted = singles.select("row", F.xxhash64("token", "level").alias("entry")).unionByName(pairs)
     shared = saved(
         posted.groupBy("entry")
         .agg(F.min("row").alias("leader"), F.max("row").alias("last"))
@@ -380,7 +392,7 @@ def similar_links(docs: DataFrame, words: int, percent: int, frequent=FREQUENT):
                 yield from named_links(table, forest(a[near], b[near]), True)
 
     maybe = saved(
-        meet(met, reps.drop("entries"), "prefix", possible, f"leader {kind}, a {kind}, b {kind}").distinct(),
+        meet(met, reps.drop("entries", "levels"), "prefix", possible, f"leader {kind}, a {kind}, b {kind}").distinct(),
         "possible-links",
     )
     alive = maybe.select("leader", F.explode(F.array("a", "b")).alias("row")).distinct()
