@@ -76,6 +76,7 @@ def powers(base: int, n: int) -> np.ndarray:
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a string column (null: empty) and where each text begins."""
+    pa.default_memory_pool().release_unused()  # what earlier batches took
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     column = pc.fill_null(column, "").cast(pa.large_string())

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from landfall.llm.common import ALNUM_WORD, ship, word_hashes
 
 WINDOW = 10
-SHARD_WORDS = 1 << 20
+SHARD_WORDS = 1 << 19
 SAMPLE = 16
 #: Words of phrases held by a worker at once (8 bytes each); more are searched in further passes.
 PHRASE_WORDS = 8_000_000
@@ -231,7 +231,17 @@ def search_shard(phrases: Phrases, hashes: np.ndarray, counts: np.ndarray):
 
 
 def search_batch(phrases: Phrases, texts: pa.Array):
-    """(words, spans, items) of each text, shard by shard."""
+    """(words, spans, items) of each text, shard by shard; a thousand texts are held as words at once."""
+    counts, spans, items = [np.zeros(0, np.int64)], [], []
+    for at in range(0, len(texts), 1024):
+        found = search_texts(phrases, texts.slice(at, 1024))
+        counts.append(found[0])
+        spans += found[1]
+        items += found[2]
+    return np.concatenate(counts), spans, items
+
+
+def search_texts(phrases: Phrases, texts: pa.Array):
     hashes, counts = word_hashes(texts, ALNUM_WORD)
     ends = np.concatenate([[0], np.cumsum(counts)])
     spans, items, at = [], [], 0
