@@ -11,12 +11,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from landfall.functions import lenient as L
 from landfall.operators.dimensions import known_admissions, lookup_key
 from landfall.operators.lookups import CodeList, decode, keep_listed
+from landfall.session import settle
 
 CODE_KEYS = ["year", "month", "origin_code", "state_code"]
 COUNT_KEYS = ["year", "month", "origin_country", "dest_state_name", "state_code"]
@@ -33,9 +34,22 @@ def counts_by_code(
     if states.is_small and cities.is_small:
         return count_codes(known_admissions(i94, states, cities, trim_keys), trim_keys)
     # Lists too big to broadcast meet the counted rows, never the raw ones.
-    given = i94.where("i94addr IS NOT NULL AND i94res IS NOT NULL")
     port = lookup_key("i94port", trim_keys).alias("port_code")
-    counted = count_codes(given, trim_keys, port)
+    return listed_counts(count_codes(addressed(i94), trim_keys, port), states, cities, trim_keys)
+
+
+def addressed(i94: DataFrame) -> DataFrame:
+    """Admissions that could count under some code lists: with an address and a residence."""
+    return i94.where("i94addr IS NOT NULL AND i94res IS NOT NULL")
+
+
+def listed_counts(
+    counted: DataFrame, states: CodeList, cities: CodeList, trim_keys=True
+) -> DataFrame:
+    """Counts by code and port, restricted to listed states and ports, without the port."""
+    counted = counted.withColumns(
+        {name: lookup_key(name, trim_keys) for name in ("state_code", "port_code")}
+    )
     counted = keep_listed(counted, F.col("state_code"), states)
     return add_up(keep_listed(counted, F.col("port_code"), cities), CODE_KEYS)
 
@@ -136,40 +150,30 @@ def order_fact(counts: DataFrame, temperature, demographics, airport) -> DataFra
 
 
 def rank_fact(summed: DataFrame) -> DataFrame:
-    """Add ``position``: the place of each row by origin, state code, year, month, measures.
+    """Rows in order, with ``position``: the place by origin, state code, year, month, measures.
 
-    Built from group sizes, so no task sees more than one (origin, state) group,
-    the states of one origin, or the list of origins. ``summed`` is read several
-    times; pass a settled table.
+    One range shuffle sorts the rows; the settled partitions are then counted, and a row's
+    place is its number within its partition after the rows of the partitions before.
+    Only one count per partition reaches the driver.
     """
-    sizes = summed.groupBy("origin_country", "state_code").agg(F.count(F.lit(1)).alias("n"))
-    earlier = (Window.unboundedPreceding, -1)
-    state_order = Window.partitionBy("origin_country").orderBy("state_code").rowsBetween(*earlier)
-    states = sizes.select(
-        F.col("origin_country").alias("_origin"),
-        F.col("state_code").alias("_state"),
-        F.coalesce(F.sum("n").over(state_order), F.lit(0)).alias("_in_origin"),
-    )
-    origins = sizes.groupBy("origin_country").agg(F.sum("n").alias("n"))
-    origin_order = Window.orderBy("origin_country").rowsBetween(*earlier)
-    origins = origins.select(
-        F.col("origin_country").alias("_first"),
-        F.coalesce(F.sum("n").over(origin_order), F.lit(0)).alias("_before"),
-    )
-    ties = Window.partitionBy("origin_country", "state_code").orderBy(
-        "year", "month", "dest_state_name", *CONTEXT
+    order = ["origin_country", "state_code", "year", "month", "dest_state_name", *CONTEXT]
+    place = F.monotonically_increasing_id()  # partition << 33 | row within it
+    ranged = settle(
+        summed.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_place", place)
     )
-    placed = (
-        summed.withColumn("_row", F.row_number().over(ties))
-        .join(
-            states,
-            F.col("origin_country").eqNullSafe(F.col("_origin"))
-            & (F.col("state_code") == F.col("_state")),
-        )
-        .join(origins, F.col("origin_country").eqNullSafe(F.col("_first")))
-        .withColumn("position", F.col("_before") + F.col("_in_origin") + F.col("_row"))
+    part = F.shiftright("_place", 33)
+    sizes = sorted(tuple(r) for r in ranged.groupBy(part).agg(F.count(F.lit(1))).collect())
+    before, offsets = 0, []
+    for number, n in sizes:
+        offsets.append((number, before))
+        before += n
+    offsets = summed.sparkSession.createDataFrame(offsets, "_part bigint, _before bigint")
+    inside = F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
+    return (
+        ranged.join(F.broadcast(offsets), part == F.col("_part"))
+        .withColumn("position", F.col("_before") + inside + 1)
+        .select(*summed.columns, "position")
     )
-    return placed.select(*summed.columns, F.col("position").cast("bigint").alias("position"))
 
 
 def fact_columns(rows: DataFrame, *more: str) -> DataFrame:

@@ -12,7 +12,8 @@ INVALID = r"(?i)^invalid\b"
 COLLAPSED = r"(?i)^collapsed\b"
 NO_CODE = r"(?i)^no (country|port) code\b"
 SURVIVOR = r"(?i)^collapsed +(?:into +)?\(?([A-Za-z0-9.]+)"
-CITY_AND_STATE = r"^(.*?), *([A-Z]{2})\b"
+# The last ", XX" counts: a city's own name may hold one.
+CITY_AND_STATE = r"^(.*), *([A-Z]{2})\b"
 
 
 def validity(label) -> Column:

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from landfall.functions.codes import OTHER_STATE, STATE_LABELS
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -144,16 +146,16 @@ _SHAPES = {
                  avg_elevation_ft, percent_foreign_born, native_american, asian,
                  hispanic_or_latino, black, white""",
     "fact": "SELECT * EXCLUDE (state_code) FROM coded_fact",
-    "port_labels": """
+    "port_labels": f"""
         SELECT 'P' || CAST(p_partkey AS VARCHAR) AS code, p_partkey,
                upper(p_name) AS city,
-               substr('ALAKAZARCACOCTDEDCFLGAGUHIIDILINIAKSKYLAMEMDMAMIMNMSMOMTNCNDNENVNHNJNMNYOHOKORPAPRRISCSDTNTXUTVTVIVAWVWAWIWY',
-                      CAST(p_partkey % 54 AS INTEGER) * 2 + 1, 2) AS state
+               list_value({", ".join(f"'{code}'" for code, _ in STATE_LABELS if code != OTHER_STATE)})[
+                   CAST(p_partkey % 54 AS INTEGER) + 1] AS state
         FROM part""",
     "ports": """
         SELECT code, city, state, p_partkey,
                CASE p_partkey % 10
-                 WHEN 0 THEN city || ', ' || state
+                 WHEN 0 THEN city || CASE p_partkey % 20 WHEN 10 THEN ', ST JOHN' ELSE '' END || ', ' || state
                  WHEN 1 THEN city || ',' || state
                  WHEN 2 THEN city || ', ' || state || ' (BPS)'
                  WHEN 3 THEN city || ', ' || state || ' #ARPT'

@@ -8,7 +8,6 @@ from landfall.functions import lenient as L
 from landfall.operators import dimensions, facts, lookups
 from landfall.plans import shapes
 from landfall.plans.catalog import query
-from landfall.session import settle
 from landfall.sources import tables
 
 
@@ -201,8 +200,12 @@ def filter_year(spark, sf):
     "SELECT * FROM src_i94 WHERE i94addr IS NOT NULL AND i94res IS NOT NULL",
 )
 def filter_not_null(spark, sf):
-    rows = tables.admissions(spark, sf)
-    return rows.where(F.col("i94addr").isNotNull()).where(F.col("i94res").isNotNull())
+    """Both tests run on the lines, below their shuffle; only a home without a nation is left."""
+
+    def keep(lines):
+        return lines.where("i94addr IS NOT NULL AND has_residence")
+
+    return tables.admissions(spark, sf, keep=keep).where(F.col("i94res").isNotNull())
 
 
 @query(
@@ -227,9 +230,7 @@ def semi_join_lookup(spark, sf):
          AND i94port IN (SELECT code FROM city_codes)""",
 )
 def filter_chain(spark, sf):
-    return dimensions.known_admissions(
-        tables.admissions(spark, sf), tables.states(spark, sf), tables.cities(spark, sf)
-    )
+    return shapes.known(spark, sf)
 
 
 @query(
@@ -289,5 +290,5 @@ def fact_ordered(spark, sf):
         shapes.demographics(spark, sf),
         shapes.airport(spark, sf),
     )
-    summed = settle(facts.add_up(joined, facts.COUNT_KEYS + facts.CONTEXT))
-    return facts.fact_columns(facts.rank_fact(summed).orderBy("position"), "position")
+    summed = facts.add_up(joined, facts.COUNT_KEYS + facts.CONTEXT)
+    return facts.fact_columns(facts.rank_fact(summed), "position")

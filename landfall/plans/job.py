@@ -97,40 +97,34 @@ def run_job(spark: SparkSession, cfg: JobConfig) -> JobResult:
     if cfg.saved_counts is None:
         by_code = facts.counts_by_code(i94, states, cities, trim_keys)
     else:
-        by_code = _updated_counts(spark, cfg, states, cities, trim_keys)
+        counts_path = f"{cfg.saved_counts}/counts"
+        add_increment(spark, cfg.admissions, counts_path, cfg.admissions_format)
+        by_code = saved_counts(spark, counts_path, states, cities, trim_keys)
+        if cfg.year_only is not None:
+            by_code = by_code.where(F.col("year") == cfg.year_only)
     counts = facts.name_counts(by_code, states, countries, cfg.on_unknown)
     fact = facts.fact_arrivals(counts, temperature, demographics, airport)
-    if cfg.year_only is None:
-        readers.write_fact(fact, cfg.output)
-    else:
-        readers.write_fact_years(fact, cfg.output)
-
-    written = readers.read_fact(spark, cfg.output)
-    report = quality.quality_report(
-        written,
+    # what the output will hold is checked before it takes the place of the published one
+    staged = readers.stage_fact(fact, cfg.output)
+    coming = readers.read_fact(spark, staged)
+    if cfg.year_only is not None:
+        others = readers.read_fact(spark, cfg.output).where(F.col("year") != cfg.year_only)
+        coming = coming.unionByName(others)
+    checks = quality.quality_report(
+        coming,
         {
             "temperature keys": (temperature, ["state_abbreviations", "month"]),
             "demographics keys": (demographics, ["state_code"]),
             "airport keys": (airport, ["state"]),
         },
     )
+    report = settle(checks)
     if cfg.fail_on_quality:
-        quality.enforce(report)
+        try:
+            quality.enforce(report)
+        except RuntimeError:
+            readers.drop_staged(spark, staged)
+            raise
+    readers.publish_fact(spark, staged, cfg.output, cfg.year_only)
+    written = readers.read_fact(spark, cfg.output)
     return JobResult(written, quality.total_arrivals(written), quality.null_flags(written), report)
-
-
-def _updated_counts(spark, cfg, states, cities, trim_keys) -> DataFrame:
-    """Count the new extracts, then take the counts of all of them."""
-    counts_path = f"{cfg.saved_counts}/counts"
-    add_increment(
-        spark,
-        cfg.admissions,
-        counts_path,
-        f"{cfg.saved_counts}/progress",
-        states,
-        cities,
-        cfg.admissions_format,
-        trim_keys=trim_keys,
-    )
-    counts = saved_counts(spark, counts_path)
-    return counts if cfg.year_only is None else counts.where(F.col("year") == cfg.year_only)

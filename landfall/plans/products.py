@@ -11,6 +11,7 @@ from landfall.plans import shapes
 from landfall.plans.catalog import query
 from landfall.session import scratch_path, settle
 from landfall.sources import readers, tables
+from landfall.streaming.increments import add_increment, saved_counts
 
 # The first day of the second extract in the incremental queries.
 SPLIT_DAY = "2000-01-01"
@@ -22,8 +23,7 @@ SPLIT_DAY = "2000-01-01"
     "SELECT year, month, origin_country, state_code, arrivals FROM counts",
 )
 def count_by_group(spark, sf):
-    counted = facts.count_dimension(shapes.immigration(spark, sf))
-    return counted.drop("dest_state_name")
+    return shapes.counts(spark, sf).drop("dest_state_name")
 
 
 @query(
@@ -106,8 +106,8 @@ def lookup_decode(spark, sf):
 def join_strategy_equivalence(spark, sf):
     """The same join planned both ways; each side of the result is one strategy."""
     by_state = facts.add_up(shapes.counts(spark, sf), ["state_code", "month"])
-    counted, temperature = settle(by_state), settle(shapes.temperature(spark, sf))
-    sides = {"broadcast": small_side(temperature), "merge": temperature.hint("merge")}
+    counted, temperature = settle(by_state), small_side(shapes.temperature(spark, sf))
+    sides = {"broadcast": temperature, "merge": temperature.hint("merge")}
 
     def joined(strategy):
         rows = facts.join_temperature(counted, sides[strategy])
@@ -223,21 +223,45 @@ def dq_report(spark, sf):
     )
 
 
+def landed(frame, path):
+    """Write admissions as monthly folders of parquet, as extracts arrive."""
+    month = F.format_string("%d-%02d", F.col("i94yr").cast("int"), F.col("i94mon").cast("int"))
+    given = frame.withColumns({"month": month, "cicid": F.col("cicid").cast("double")})
+    # the folder names hold no column of the extract
+    given.repartition("month").write.mode("append").partitionBy("month").parquet(path)
+
+
+@query("scan_i94", ["src_i94"], "SELECT * FROM src_i94")
+def scan_i94(spark, sf):
+    """The production reader over monthly folders of extracts."""
+    rows = tables.admissions(spark, sf)
+    path = scratch_path(spark, "extracts")
+    landed(rows, path)
+    read = readers.read_admissions(spark, path).select(*rows.columns)
+    return read.withColumn("cicid", F.col("cicid").cast("bigint"))
+
+
 @query("incremental_append", ["fact"], "SELECT * FROM fact")
 def incremental_append(spark, sf):
-    """Counts of the extracts so far and of the next one, merged; no admission is read twice."""
-    before = shapes.counts(spark, sf, end_day=SPLIT_DAY)
-    added = shapes.counts(spark, sf, first_day=SPLIT_DAY)
-    return shapes.fact_of(spark, sf, facts.merge_counts(before, added))
+    """Extracts up to a day are counted, then those that land later; the fact is of both."""
+    landing, counts = scratch_path(spark, "landing"), scratch_path(spark, "counts")
+    for days in ({"end_day": SPLIT_DAY}, {"first_day": SPLIT_DAY}):
+        landed(tables.admissions(spark, sf, **days), landing)
+        add_increment(spark, landing, counts)
+    states, cities, countries = shapes.code_lists(spark, sf)
+    counted = saved_counts(spark, counts, states, cities)
+    return shapes.fact_of(spark, sf, facts.name_counts(counted, states, countries))
 
 
 @query("fact_by_year", ["fact"], "SELECT * FROM fact")
 def fact_by_year(spark, sf):
-    """The whole fact by year, then one year built anew in place from its own admissions."""
+    """The whole fact with a wrong extra month in one year; that year is then replaced."""
     year = tables.TEMPERATURE_YEAR
     path = scratch_path(spark, "fact")
     context = shapes.dimensions_of_rows(spark, sf)
-    readers.write_fact(facts.fact_arrivals(shapes.counts(spark, sf), *context), path)
+    whole = facts.fact_arrivals(shapes.counts(spark, sf), *context)
+    extra = whole.where(F.col("year") == year).withColumn("immigration_month", F.lit(13))
+    readers.write_fact(whole.unionByName(extra), path)
     one_year = shapes.counts(spark, sf, f"{year}-01-01", f"{year + 1}-01-01")
-    readers.write_fact_years(facts.fact_arrivals(one_year, *context), path)
+    readers.write_fact_year(facts.fact_arrivals(one_year, *context), path, year)
     return readers.read_fact(spark, path)

@@ -13,11 +13,6 @@ from landfall.sources import readers, tables
 from landfall.sources.labels import parse_labels, reverse_labels
 
 
-@query("scan_i94", ["src_i94"], "SELECT * FROM src_i94")
-def scan_i94(spark, sf):
-    return tables.admissions(spark, sf)
-
-
 def _through_csv(spark, frame, sep, reader):
     """Write delimited text with a header and read it back."""
     path = scratch_path(spark, "text")
@@ -92,7 +87,9 @@ def label_reverse_lookup(spark, sf):
         "code", F.concat("city", F.lit(" "), "code").alias("label")
     )
     reverse = lookups.code_list(reverse_labels(named))
-    return reverse.side().select(F.col("code").alias("label"), F.col("label").alias("code"))
+    asked = named.select(F.initcap("label").alias("name"))
+    found = lookups.decode(asked, F.upper("name"), reverse, "code")
+    return found.select(F.upper("name").alias("label"), "code")
 
 
 @query("sink_parquet_roundtrip", ["fact"], "SELECT * FROM fact")
@@ -186,7 +183,9 @@ def label_validity(spark, sf):
 @query(
     "port_city_state",
     ["ports"],
-    """SELECT code, label, CASE WHEN p_partkey % 10 < 4 THEN city END AS city,
+    """SELECT code, label,
+              CASE WHEN p_partkey % 20 = 10 THEN city || ', ST JOHN'
+                   WHEN p_partkey % 10 < 4 THEN city END AS city,
               CASE WHEN p_partkey % 10 < 4 THEN state END AS state
        FROM ports""",
 )

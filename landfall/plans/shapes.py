@@ -77,15 +77,13 @@ def count_by_label(spark, sf, column, codes, into):
 
 def ports(spark, sf):
     """Port codes with the parts their labels are made of."""
-    state_codes = "".join(code for code, _ in STATE_LABELS if code != OTHER_STATE)
+    state_codes = [F.lit(code) for code, _ in STATE_LABELS if code != OTHER_STATE]
     number = F.col("p_partkey")
     return tables.table(spark, sf, "part").select(
         "p_partkey",
         F.concat(F.lit("P"), number.cast("string")).alias("code"),
         F.upper("p_name").alias("city"),
-        F.substring(F.lit(state_codes), ((number % 54) * 2 + 1).cast("int"), F.lit(2)).alias(
-            "state"
-        ),
+        F.element_at(F.array(*state_codes), (number % 54 + 1).cast("int")).alias("state"),
     )
 
 
@@ -101,7 +99,8 @@ def port_lines(spark, sf):
 
     kind = number % 10
     label = (
-        F.when(kind == 0, text(city, ", ", state))
+        F.when(number % 20 == 10, text(city, ", ST JOHN, ", state))
+        .when(kind == 0, text(city, ", ", state))
         .when(kind == 1, text(city, ",", state))
         .when(kind == 2, text(city, ", ", state, " (BPS)"))
         .when(kind == 3, text(city, ", ", state, " #ARPT"))

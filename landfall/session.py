@@ -47,14 +47,26 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path under this application's own folder in the shared one.
+
+    Frames that are still to be read may stand on it, so nothing is removed while the application
+    runs; the folder ``scratch-<application>`` of one that has ended can be deleted.
+    """
+    application = spark.sparkContext.applicationId
+    return f"{shared_folder(spark)}/scratch-{application}/{name}-{uuid.uuid4().hex}"
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path for it."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()), found
 
 
 def settle(df: DataFrame) -> DataFrame:
     """Compute a small derived table once and keep it in the shared folder.
 
-    Later plans read the saved rows, survive lost executors, and see the true size.
+    Later plans read the saved rows and survive lost executors. Catalyst keeps the size estimate
+    of the original plan; where the true size matters, measure it.
     """
     shared_folder(df.sparkSession)
     return df.checkpoint()

@@ -2,36 +2,100 @@
 
 from __future__ import annotations
 
+import uuid
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from landfall import schemas
+from landfall.session import hadoop_path
 
-# A streamed folder forgets nothing: a file counts however old it is when it arrives.
-FILE_AGE = "36500d"
-# Tasks that share the months of the fact when it is written.
-WRITE_TASKS = 64
+# Without these an extract counts nothing.
+KEY_COLUMNS = ["i94yr", "i94mon", "i94res", "i94port", "i94addr"]
+# Rows of the fact to a file at most.
+ROWS_PER_FILE = 5_000_000
 
 
-def read_admissions(spark: SparkSession, path, fmt="parquet") -> DataFrame:
-    """All extracts (monthly files or folders) under ``path``, as parquet or CSV."""
-    if fmt == "csv":
-        return schemas.conform(_text_columns(spark, path, ","), schemas.I94, absent_is_null=True)
-    return spark.read.schema(schemas.I94).format(fmt).load(path)
+def admission_files(spark: SparkSession, path) -> DataFrame:
+    """(path, file, modified) of every file under ``path``, however deep; contents are not read."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return listed.select(
+        "path",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_modification_time").alias("modified"),
+    )
 
 
-def stream_admissions(spark: SparkSession, path, fmt="parquet") -> DataFrame:
-    """The same as a stream of the files that arrive under ``path``.
+def read_admissions(spark: SparkSession, path, fmt="parquet", paths=None) -> DataFrame:
+    """All extracts under ``path`` (files, or folders of any depth), as parquet or CSV.
 
-    CSV columns are named by the header that is there at the start; a later file
-    with another header stops the stream.
+    A file must have the five key columns, in any letter case, or be in a ``key=value`` folder
+    that gives them; anything else is an error, since absent columns would read as NULL and
+    drop every row. Other columns may be absent. CSV files of one call share a header.
+    An empty folder has no rows. ``paths`` restricts the read to these files.
     """
-    stream = spark.readStream.option("maxFileAge", FILE_AGE)
+    return _with_metadata(spark, path, fmt, paths).select(*schemas.I94.fieldNames())
+
+
+def read_admissions_by_file(spark: SparkSession, path, fmt, paths) -> DataFrame:
+    """The same for the given files, with the columns ``file`` and ``modified``."""
+    return _with_metadata(spark, path, fmt, paths)
+
+
+def _with_metadata(spark, path, fmt, paths):
+    if paths is None:
+        paths = [row.path for row in admission_files(spark, path).select("path").collect()]
+    if not paths:
+        nothing = T.StructType([*schemas.I94.fields, *FILE_COLUMNS])
+        return spark.createDataFrame([], nothing)
+    reader = spark.read.option("recursiveFileLookup", True)
     if fmt == "csv":
-        header = _text_columns(spark, path, ",").schema
-        reader = stream.schema(header).option("header", True)
-        rows = reader.option("enforceSchema", False).csv(path)
-        return schemas.conform(rows, schemas.I94, absent_is_null=True)
-    return stream.schema(schemas.I94).format(fmt).load(path)
+        rows = _delimited_text(reader, paths, ",")
+        columns = {name.lower() for name in rows.columns}
+        _require_keys(paths, [columns] * len(paths))
+        rows = rows.select("*", *_file_columns())
+        found = {f.name: _typed(rows, f) for f in schemas.I94.fields if f.name in columns}
+    else:
+        with ThreadPoolExecutor(max_workers=16) as pool:
+            names = list(pool.map(lambda p: {n.lower() for n in spark.read.format(fmt).load(p).columns}, paths))
+        _require_keys(paths, names)
+        rows = reader.schema(schemas.I94).format(fmt).load(paths).select("*", *_file_columns())
+        found = {f.name: F.col(f.name) for f in schemas.I94.fields}
+    columns = []
+    for field in schemas.I94.fields:
+        value = found.get(field.name, F.lit(None).cast(field.dataType))
+        if any(_in_folder(p, field.name) for p in paths):
+            folder = F.regexp_extract("file", f"(?i)/{field.name}=([^/]*)/", 1)
+            value = F.coalesce(value, F.url_decode(folder).try_cast(field.dataType))
+        columns.append(value.alias(field.name))
+    return rows.select(*columns, "file", "modified")
+
+
+FILE_COLUMNS = [T.StructField("file", T.StringType()), T.StructField("modified", T.TimestampType())]
+
+
+def _file_columns():
+    return (
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_modification_time").alias("modified"),
+    )
+
+
+def _typed(rows, field):
+    return F.col(f"`{field.name}`").try_cast(field.dataType)
+
+
+def _in_folder(path, name):
+    return f"/{name}=" in path.lower()
+
+
+def _require_keys(paths, names):
+    for path, present in zip(paths, names):
+        absent = [k for k in KEY_COLUMNS if k not in present and not _in_folder(path, k)]
+        if absent:
+            raise ValueError(f"{path} lacks the columns {', '.join(absent)}")
 
 
 def read_demographics(spark: SparkSession, path) -> DataFrame:
@@ -48,31 +112,54 @@ def read_temperatures(spark: SparkSession, path) -> DataFrame:
 
 def write_fact(fact: DataFrame, path) -> None:
     """Overwrite ``path`` with the fact, one folder per year and month."""
-    _write(fact, path, "static")
+    publish_fact(fact.sparkSession, stage_fact(fact, path), path)
 
 
-def write_fact_years(fact: DataFrame, path) -> None:
-    """Replace only the (year, month) folders that occur in ``fact``."""
-    _write(fact, path, "dynamic")
+def write_fact_year(fact: DataFrame, path, year: int) -> None:
+    """Replace all of ``year`` by ``fact``, which holds rows of that year only, or none."""
+    publish_fact(fact.sparkSession, stage_fact(fact, path), path, year)
 
 
-def read_fact(spark: SparkSession, path) -> DataFrame:
-    fact = spark.read.schema(schemas.FACT).parquet(path)
-    return fact.select(*schemas.FACT.fieldNames())
-
+def stage_fact(fact: DataFrame, path) -> str:
+    """Write the fact beside the published one, in a folder that readers of ``path`` skip.
 
-def _write(fact, path, overwrite):
-    """One sorted file per month; months are at most countries x states rows."""
+    Rows are rebalanced by month: AQE merges small months and splits big ones by size.
+    """
+    staged = f"{path}/_staged-{uuid.uuid4().hex}"
     (
-        fact.repartition(WRITE_TASKS, "year", "immigration_month")
+        fact.hint("rebalance", "year", "immigration_month")
         .sortWithinPartitions(
             "year", "immigration_month", "immigration_origin", "to_immigration_state"
         )
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", overwrite)
-        .partitionBy("year", "immigration_month")
-        .parquet(path)
+        .write.partitionBy("year", "immigration_month")
+        .option("maxRecordsPerFile", ROWS_PER_FILE)
+        .parquet(staged)
     )
+    return staged
+
+
+def drop_staged(spark: SparkSession, staged) -> None:
+    system, folder = hadoop_path(spark, staged)
+    system.delete(folder, True)
+
+
+def publish_fact(spark: SparkSession, staged, path, year=None) -> None:
+    """Put the staged fact in place of the published one, or of one year of it."""
+    system, target = hadoop_path(spark, path)
+    _, source = hadoop_path(spark, staged)
+    chosen = "year=*" if year is None else f"year={year}"
+    path_class = spark._jvm.org.apache.hadoop.fs.Path
+    for old in system.globStatus(path_class(target, chosen)) or []:
+        system.delete(old.getPath(), True)
+    for new in system.globStatus(path_class(source, "year=*")) or []:
+        if not system.rename(new.getPath(), target):
+            raise OSError(f"cannot move {new.getPath()} to {path}")
+    system.delete(source, True)
+
+
+def read_fact(spark: SparkSession, path) -> DataFrame:
+    fact = spark.read.schema(schemas.FACT).parquet(path)
+    return fact.select(*schemas.FACT.fieldNames())
 
 
 def _delimited(spark, path, schema, sep):
@@ -82,9 +169,8 @@ def _delimited(spark, path, schema, sep):
 
 def _text_columns(spark, path, sep):
     """Every column as text; files of one folder whose headers differ are an error."""
-    return (
-        spark.read.option("header", True)
-        .option("sep", sep)
-        .option("enforceSchema", False)
-        .csv(path)
-    )
+    return _delimited_text(spark.read, path, sep)
+
+
+def _delimited_text(reader, path, sep):
+    return reader.option("header", True).option("sep", sep).option("enforceSchema", False).csv(path)

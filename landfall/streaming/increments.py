@@ -1,51 +1,62 @@
 """Adding new extracts without reading the old ones again.
 
-Each run counts only the files that arrived since the last one and saves the
-counts of every micro-batch in a folder of its own, so a repeated batch replaces
-itself. The fact is rebuilt from the saved counts, which stay small.
+Each run counts only files that are new or were delivered anew, by path and modification time, and
+saves the counts of each file before any code list is applied. Of every file the latest
+counts hold, so a correction replaces what it corrects, a repeated or interrupted run adds
+nothing twice, and changed lists take effect at the next build of the fact.
 """
 
 from __future__ import annotations
 
+import uuid
+from itertools import islice
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from landfall.operators.facts import CODE_KEYS, counts_by_code, merge_counts
+from landfall.operators import facts
 from landfall.operators.lookups import CodeList
-from landfall.sources.readers import stream_admissions
-
-COUNTS_SCHEMA = "year int, month int, origin_code string, state_code string, arrivals bigint"
-
-
-def add_increment(
-    spark: SparkSession,
-    landing: str,
-    counts_path: str,
-    progress_path: str,
-    states: CodeList,
-    cities: CodeList,
-    fmt="parquet",
-    trim_keys=True,
-) -> None:
-    """Count the extracts under ``landing`` that ``progress_path`` does not know yet."""
-    # so that the counts can be read before any extract has arrived
-    nothing = spark.createDataFrame([], COUNTS_SCHEMA)
-    nothing.write.mode("ignore").parquet(f"{counts_path}/batch=none")
-
-    def save(batch: DataFrame, batch_id: int) -> None:
-        counted = counts_by_code(batch, states, cities, trim_keys)
-        counted.write.mode("overwrite").parquet(f"{counts_path}/batch={batch_id}")
-
-    query = (
-        stream_admissions(spark, landing, fmt)
-        .writeStream.foreachBatch(save)
-        .option("checkpointLocation", progress_path)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-
-
-def saved_counts(spark: SparkSession, counts_path: str) -> DataFrame:
-    """All increments as one set of counts by code."""
-    stored = spark.read.schema(COUNTS_SCHEMA).parquet(counts_path)
-    return merge_counts(stored.select(*CODE_KEYS, "arrivals"))
+from landfall.sources.readers import admission_files, read_admissions_by_file
+
+COUNTS_SCHEMA = (
+    "file string, modified timestamp, run string, year int, month int, origin_code string, "
+    "state_code string, port_code string, arrivals bigint"
+)
+# Files that one job of a run reads.
+FILES_AT_ONCE = 5_000
+
+
+def add_increment(spark: SparkSession, landing: str, counts_path: str, fmt="parquet") -> None:
+    """Count the extracts under ``landing`` whose present state has not been counted yet.
+
+    Counts of a file that was taken away from ``landing`` stay.
+    """
+    spark.createDataFrame([], COUNTS_SCHEMA).write.mode("ignore").parquet(f"{counts_path}/run=none")
+    known = _stored(spark, counts_path).select("file", "modified").distinct()
+    present = admission_files(spark, landing)
+    new = iter(present.join(known, ["file", "modified"], "left_anti").select("path").toLocalIterator())
+    while paths := [row.path for row in islice(new, FILES_AT_ONCE)]:
+        rows = read_admissions_by_file(spark, landing, fmt, paths)
+        counted = facts.count_codes(
+            facts.addressed(rows), False, F.col("i94port").alias("port_code"), "file", "modified"
+        )
+        # a file without a counted row is known by a row of its own
+        block = spark.createDataFrame([(path,) for path in paths], "path string")
+        seen = present.join(block, "path").select("file", "modified")
+        run = f"{counts_path}/run={uuid.uuid4().hex}"
+        counted.join(seen, ["file", "modified"], "right").write.parquet(run)
+
+
+def _stored(spark, counts_path):
+    return spark.read.schema(COUNTS_SCHEMA).parquet(counts_path)
+
+
+def saved_counts(
+    spark: SparkSession, counts_path: str, states: CodeList, cities: CodeList, trim_keys=True
+) -> DataFrame:
+    """All extracts, each as last counted, as one set of counts by listed code."""
+    stored = _stored(spark, counts_path)
+    counted = F.struct("modified", "run")
+    latest = stored.groupBy("file").agg(F.max(counted).alias("latest")).select("file", "latest.*")
+    kept = stored.join(latest, ["file", "modified", "run"]).where("arrivals IS NOT NULL")
+    return facts.listed_counts(kept, states, cities, trim_keys)

@@ -160,12 +160,3 @@ def test_padded_port_keys(spark, golden):
 
     assert kept(trimmed, True) == [1, 2]
     assert kept(padded, False) == [1]
-
-
-def test_show_prints_twenty_rows(spark, capsys):
-    spark.range(30).show()
-    assert "only showing top 20 rows" in capsys.readouterr().out
-
-
-def test_names_ignore_case(golden):
-    assert golden.temperatures.where(F.col("country") == "Canada").count() == 1

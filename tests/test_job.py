@@ -1,6 +1,9 @@
 """The whole run over files, rebuilt years and increments."""
 
 import csv
+import os
+import shutil
+from pathlib import Path
 
 import pytest
 from conftest import Golden, rows_of
@@ -8,7 +11,8 @@ from pyspark.sql import functions as F
 
 from landfall import __main__ as command
 from landfall import schemas
-from landfall.operators import facts
+from landfall.operators import dimensions, facts
+from landfall.operators.lookups import code_list
 from landfall.plans.job import JobConfig, run_job
 from landfall.sources import readers
 from landfall.streaming.increments import add_increment, saved_counts
@@ -74,6 +78,16 @@ def test_failed_quality_stops_the_run(spark, files):
         run_job(spark, JobConfig(**files, fail_on_quality=True))
 
 
+def test_a_failed_run_leaves_the_published_fact(spark, files):
+    run_job(spark, JobConfig(**files))
+    files["admissions"] = files["output"] + "-none"
+    Path(files["admissions"]).mkdir()
+    with pytest.raises(RuntimeError, match="total arrivals"):
+        run_job(spark, JobConfig(**files, fail_on_quality=True))
+    assert rows_of(readers.read_fact(spark, files["output"])) == Golden.fact
+    assert not [p for p in Path(files["output"]).iterdir() if p.name.startswith("_staged")]
+
+
 def test_csv_extracts(spark, golden, tmp_path):
     golden.admissions.write.option("header", True).csv(str(tmp_path / "i94"))
     found = readers.read_admissions(spark, str(tmp_path / "i94"), "csv")
@@ -89,10 +103,11 @@ def test_csv_extracts_by_name(spark, golden, tmp_path):
     found = readers.read_admissions(spark, str(tmp_path / "in"), "csv")
     assert rows_of(found) == rows_of(golden.admissions)
 
-    paths = [str(tmp_path / name) for name in ("in", "counts", "progress")]
-    add_increment(spark, *paths, golden.states, golden.cities, fmt="csv")
-    full = facts.counts_by_code(golden.admissions, golden.states, golden.cities)
-    assert rows_of(saved_counts(spark, paths[1])) == rows_of(full)
+    landing, counts = str(tmp_path / "in"), str(tmp_path / "counts")
+    place = (golden.states, golden.cities)
+    add_increment(spark, landing, counts, fmt="csv")
+    full = facts.counts_by_code(golden.admissions, *place)
+    assert rows_of(saved_counts(spark, counts, *place)) == rows_of(full)
 
     write_text(tmp_path / "in" / "b.csv", ["extra", *used], [["x", *row[:-1]] for row in rows])
     with pytest.raises(Exception, match="(?i)header"):
@@ -111,20 +126,94 @@ def test_one_year_is_replaced_in_place(spark, golden, files, tmp_path):
     assert result.total.first()[0] == 7
 
 
-def test_increments_add_up_to_the_full_build(spark, golden, tmp_path):
-    landing, counts, progress = (str(tmp_path / name) for name in ("in", "counts", "progress"))
-    place = (golden.states, golden.cities)
-    first = golden.admissions.where("cicid % 2 = 0")
-    first.write.parquet(landing)
-    add_increment(spark, landing, counts, progress, *place)
-    assert rows_of(saved_counts(spark, counts)) == rows_of(facts.counts_by_code(first, *place))
-    golden.admissions.where("cicid % 2 = 1").write.mode("append").parquet(landing)
-    add_increment(spark, landing, counts, progress, *place)
-    full = rows_of(facts.counts_by_code(golden.admissions, *place))
-    assert rows_of(saved_counts(spark, counts)) == full
-    # nothing new: nothing changes
-    add_increment(spark, landing, counts, progress, *place)
-    assert rows_of(saved_counts(spark, counts)) == full
+@pytest.fixture
+def landing(spark, golden, tmp_path):
+    """Functions that count what has landed, and give saved and full counts."""
+    folder, counts = str(tmp_path / "in"), str(tmp_path / "counts")
+
+    def run(states=golden.states, cities=golden.cities):
+        add_increment(spark, folder, counts)
+        full = facts.counts_by_code(readers.read_admissions(spark, folder), states, cities)
+        return rows_of(saved_counts(spark, counts, states, cities)), rows_of(full)
+
+    return tmp_path / "in", run
+
+
+def test_increments_add_up_to_the_full_build(spark, golden, landing):
+    folder, run = landing
+    for part in (0, 1):
+        golden.admissions.where(f"cicid % 2 = {part}").write.mode("append").parquet(str(folder / "2016-06"))
+        for _ in range(2):  # nothing new: nothing changes
+            found, full = run()
+            assert found == full != []
+    assert full == rows_of(facts.counts_by_code(golden.admissions, golden.states, golden.cities))
+    # a list that changes holds for what was counted before
+    more = code_list(golden.state_labels.where("code <> 'AK'"))
+    found, full = run(states=more)
+    assert found == full == [row for row in run()[0] if row[3] != "AK"]
+
+
+def test_a_file_delivered_anew_replaces_its_counts(golden, landing):
+    folder, run = landing
+    folder.mkdir()
+    golden.admissions.where("cicid = 1").toPandas().to_parquet(folder / "june.parquet")
+    assert run()[0] == run()[1]
+    os.utime(folder / "june.parquet", (1, 1))
+    run()
+    golden.admissions.toPandas().to_parquet(folder / "june.parquet")
+    found, full = run()
+    assert found == full and len(found) > 1
+
+
+def test_interrupted_runs_and_empty_files(spark, golden, landing, tmp_path):
+    folder, run = landing
+    golden.admissions.write.parquet(str(folder))
+    golden.admissions.limit(0).coalesce(1).write.mode("append").parquet(str(folder))
+    found, full = run()
+    saved = sorted(p.name for p in (tmp_path / "counts").iterdir())
+    assert found == full and run()[0] == full
+    assert sorted(p.name for p in (tmp_path / "counts").iterdir()) == saved  # nothing is read again
+    # the same files counted by a second run count once
+    stored = next(p for p in (tmp_path / "counts").iterdir() if p.name.startswith("run=") and p.name != "run=none")
+    shutil.copytree(stored, tmp_path / "counts" / "run=zzz")
+    assert run()[0] == full
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_nested_and_keyed_folders(spark, golden, tmp_path, fmt):
+    root = str(tmp_path / "in")
+    for half in (0, 1):
+        part = golden.admissions.where(f"cicid % 2 = {half}").coalesce(1)
+        part.write.format(fmt).option("header", True).save(f"{root}/2016/part-{half}")
+    assert rows_of(readers.read_admissions(spark, root, fmt)) == rows_of(golden.admissions)
+    keyed = str(tmp_path / "keyed")
+    golden.admissions.write.format(fmt).option("header", True).partitionBy("i94yr", "i94port").save(keyed)
+    assert rows_of(readers.read_admissions(spark, keyed, fmt)) == rows_of(golden.admissions)
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_absent_key_columns_are_an_error(spark, golden, tmp_path, fmt):
+    root = str(tmp_path / "in")
+    golden.admissions.write.format(fmt).option("header", True).save(f"{root}/good")
+    renamed = golden.admissions.withColumnRenamed("i94yr", "i94year").drop("i94addr")
+    renamed.coalesce(1).write.format(fmt).option("header", True).save(f"{root}/bad")
+    with pytest.raises(ValueError, match="i94yr, i94addr"):
+        readers.read_admissions(spark, f"{root}/bad", fmt)
+    if fmt == "parquet":  # CSV files of one call share a header
+        with pytest.raises(ValueError, match="i94yr, i94addr"):
+            readers.read_admissions(spark, root, fmt)
+    (tmp_path / "none").mkdir()
+    assert readers.read_admissions(spark, str(tmp_path / "none"), fmt).count() == 0
+
+
+def test_a_rebuilt_year_loses_stale_months(spark, golden, files):
+    later = golden.admissions.withColumn("i94yr", F.lit(2017.0))
+    later.write.mode("append").parquet(files["admissions"])
+    run_job(spark, JobConfig(**files))
+    shutil.rmtree(files["admissions"])
+    golden.admissions.write.parquet(files["admissions"])
+    result = run_job(spark, JobConfig(**files, year_only=2017))  # 2017 comes out empty
+    assert rows_of(result.fact) == Golden.fact and result.total.first()[0] == 3
 
 
 def test_run_with_saved_counts(spark, golden, files, tmp_path):
@@ -142,9 +231,9 @@ def test_run_with_saved_counts(spark, golden, files, tmp_path):
 
 def test_no_extract_yet(spark, golden, tmp_path):
     (tmp_path / "in").mkdir()
-    paths = [str(tmp_path / name) for name in ("in", "counts", "progress")]
-    add_increment(spark, *paths, golden.states, golden.cities)
-    assert saved_counts(spark, paths[1]).count() == 0
+    landing, counts = str(tmp_path / "in"), str(tmp_path / "counts")
+    add_increment(spark, landing, counts)
+    assert saved_counts(spark, counts, golden.states, golden.cities).count() == 0
 
 
 def test_command_line(files):
@@ -154,3 +243,21 @@ def test_command_line(files):
     args = command.parse_args([*argv, "--use-state-aliases", "--temperature-year", "2012"])
     assert args.use_state_aliases and args.temperature_year == 2012
     assert args.on_unknown == "null" and args.year_only is None
+
+
+def test_the_command_runs_and_shows_its_result(spark, files, capsys):
+    argv = [text for name, path in files.items() for text in (f"--{name}", path)]
+    command.main(argv)
+    shown = capsys.readouterr().out
+    assert "JAPAN|" in shown and "fact_table_count" in shown
+    assert "rows with a missing key" in shown and shown.count("+\n") >= 12
+    assert rows_of(readers.read_fact(spark, files["output"])) == Golden.fact
+
+
+def test_names_ignore_case(spark, files, golden, tmp_path):
+    """A temperature file whose header is in other letters."""
+    header = [name.lower() for name in schemas.TEMPERATURES.fieldNames()]
+    path = write_text(tmp_path / "lower.csv", header, Golden.temperatures)
+    read = readers.read_temperatures(spark, path)
+    want = dimensions.dim_temperature(golden.temperatures, golden.state_names)
+    assert rows_of(dimensions.dim_temperature(read, golden.state_names)) == rows_of(want)

@@ -126,3 +126,10 @@ def test_other_bucket(spark, golden):
             [("AK", "AK"), ("XX", "99"), ("99", "99"), (None, "99")], "addr string, bucket string"
         )
     )
+
+
+def test_the_last_state_counts(spark):
+    """A line of the data dictionary whose city holds a comma and two letters that are no state."""
+    labels = spark.createDataFrame([("CRU", "CRUZ BAY, ST JOHN, VI")], "code string, label string")
+    found = ports.split_city_state(labels, lookups.us_states(spark)).first()
+    assert (found.city, found.state) == ("CRUZ BAY, ST JOHN", "VI")

@@ -6,10 +6,10 @@ import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F
 
-from landfall.operators import facts
+from landfall.operators import facts, sizes
 from landfall.operators.sizes import small_side
 from landfall.plans import catalog, expressions, products, scans, shapes  # noqa: F401
-from landfall.sources import tables
+from landfall.sources import readers, tables
 
 SF = "/root/testdata/sf0.001"
 
@@ -118,3 +118,49 @@ def test_positions_follow_the_order(spark):
     assert origins == sorted(origins)
     states = [row.state for row in expressions.sort_state(spark, SF).collect()]
     assert states == sorted(states)
+
+
+def test_filters_sit_below_the_first_shuffle(spark, no_static_broadcast):
+    """Semi joins and the residence test are met right above the scan of the lines."""
+    for query in (expressions.filter_chain, expressions.filter_not_null):
+        text = plan(query(spark, SF))
+        merge = text.index("SortMergeJoin")
+        lines = text[merge:]
+        assert "l_partkey" in lines and "% 17" in lines
+        assert "LeftSemi" not in text[:merge]
+    assert plan(expressions.filter_chain(spark, SF)).count("LeftSemi") == 2
+    assert "_listed" not in text
+
+
+def test_counting_needs_no_city_names(spark):
+    text = plan(products.count_by_group(spark, SF))
+    assert "city_port_name" not in text and "PORT " not in text.split("Scan")[0]
+
+
+def test_ranking_has_one_range_shuffle(spark, monkeypatch):
+    summed = spark.range(50).selectExpr(
+        "int(id % 3) year", "1 month", "string(id % 4) origin_country", "'S' dest_state_name",
+        "string(id % 5) state_code", "id arrivals", *[f"double(id) {name}" for name in facts.CONTEXT],
+    )
+    seen = []
+    monkeypatch.setattr(facts, "settle", lambda df: seen.append(plan(df)) or df.checkpoint())
+    ranked = facts.rank_fact(summed)
+    assert seen[0].count("Exchange") == 1 and "rangepartitioning" in seen[0]
+    assert "SinglePartition" not in seen[0] + plan(ranked) and "Exchange hash" not in plan(ranked)
+    rows = ranked.collect()
+    assert [r.position for r in rows] == list(range(1, 51))
+    assert [(r.origin_country, r.state_code) for r in rows] == sorted((r.origin_country, r.state_code) for r in rows)
+
+
+def test_the_sink_splits_and_merges_by_size(spark, tmp_path):
+    fact = shapes.fact(spark, SF)
+    text = fact.hint("rebalance", "year", "immigration_month")._jdf.queryExecution().optimizedPlan().toString()
+    assert "RebalancePartitions" in text
+    readers.write_fact(fact, str(tmp_path / "fact"))
+    assert rows_of(readers.read_fact(spark, str(tmp_path / "fact"))) == rows_of(fact)
+
+
+def test_sizes_count_nulls_and_bytes(spark):
+    rows = spark.range(1000).selectExpr(*[f"cast(NULL AS DOUBLE) c{k}" for k in range(12)])
+    assert sizes.row_bytes(rows) >= 1000 * 12 * 8
+    assert sizes.row_bytes(spark.sql("SELECT 'éé' AS a")) == 16 + 16 + 4
