@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from landfall.llm import common, exact, jaccard
+from landfall.llm import components as module
 from landfall.llm.components import components
 
 from .conftest import lowered
@@ -78,6 +79,20 @@ def test_components(spark):
     }
 
 
+def test_a_chain_takes_few_rounds(spark, monkeypatch):
+    rounds, plain = [], module.saved
+
+    def counted(frame, name):
+        rounds.append(name)
+        return plain(frame, name)
+
+    monkeypatch.setattr(module, "saved", counted)
+    chain = spark.range(300).selectExpr("struct(id AS k) AS a", "struct(id + 1 AS k) AS b")
+    found = components(chain).select("key.k", F.col("component.k").alias("to")).collect()
+    assert sorted((r.k, r.to) for r in found) == [(i, 0) for i in range(301)]
+    assert rounds.count("moves") < 25
+
+
 def brute_components(texts, words, percent):
     sets = {}
     for i, t in texts.items():
