@@ -16,13 +16,18 @@ from landfall.llm.components import components
 
 ERRORS = 1
 LEAST_CHARS = 24  # shorter lines are only compared for equality
+#: A run of white space that is not one plain space already, so most words need no replacement.
+UNEVEN_SPACE = r"[\x20\x09-\x0D](?:[\x20\x09-\x0D]+|(?<!\x20))"
+
+
+def raw_lines(text):
+    return F.split(F.coalesce(F.col(text), F.lit("")), "\n")
 
 
 def line_rows(docs: DataFrame, key="doc_id", text="text") -> DataFrame:
     """(key, pos, line): lines trimmed and with white space squeezed; blank ones left out."""
-    lines = F.split(F.coalesce(F.col(text), F.lit("")), "\n")
-    plain = F.trim(F.regexp_replace("raw", r"[\x20\x09-\x0D]+", " ")).alias("line")
-    return docs.select(F.col(key).alias("key"), F.posexplode(lines).alias("pos", "raw")).select("key", "pos", plain).where("line <> ''")
+    plain = F.trim(F.regexp_replace("raw", UNEVEN_SPACE, " ")).alias("line")
+    return docs.select(F.col(key).alias("key"), F.posexplode(raw_lines(text)).alias("pos", "raw")).select("key", "pos", plain).where("line <> ''")
 
 
 def _segment(n, number, errors):
@@ -154,7 +159,8 @@ def line_dedup(docs: DataFrame, key="doc_id", text="text", errors=ERRORS, least=
     kept = first.groupBy(F.col("first.key").alias("key")).agg(
         F.count(F.lit(1)).alias("n_kept"), F.array_sort(F.collect_list("first.pos")).alias("kept")
     )
-    counts = line_rows(docs, key, text).groupBy("key").agg(F.count(F.lit(1)).alias("n_lines"))
+    filled = F.size(F.filter(raw_lines(text), lambda line: line.rlike(r"[^\x20\x09-\x0D]")))
+    counts = docs.groupBy(F.col(key).alias("key")).agg(F.sum(filled).alias("n_lines"))
     return (
         docs.select(F.col(key).alias("key"))
         .join(counts, "key", "left")
