@@ -3,7 +3,20 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from landfall.llm import chunks, exact, jaccard, langid, leaks, linejoin, lm, packing, quotes, severity
+from landfall.llm import (
+    chunks,
+    exact,
+    gridcodes,
+    jaccard,
+    langid,
+    leaks,
+    linejoin,
+    lm,
+    negatives,
+    packing,
+    quotes,
+    severity,
+)
 
 QUERIES = {
     "op1_lm_scoring": lm.op1_lm_scoring,
@@ -16,6 +29,8 @@ QUERIES = {
     "op8_language_id": langid.op8_language_id,
     "op9_toxicity": severity.op9_toxicity,
     "op10_ngram_jaccard_join": jaccard.op10_ngram_jaccard_join,
+    "op12_grid_codes": gridcodes.op12_grid_codes,
+    "op13_hard_negatives": negatives.op13_hard_negatives,
     "pipeline": corpus_pipeline.run,
 }
 ORACLES = {
@@ -23,4 +38,6 @@ ORACLES = {
     "op4_exact_dedup": exact.OP4_SQL,
     "op6_line_dedup": linejoin.OP6_SQL,
     "op10_ngram_jaccard_join": jaccard.OP10_SQL,
+    "op12_grid_codes": gridcodes.OP12_SQL,
+    "op13_hard_negatives": negatives.OP13_SQL,
 }

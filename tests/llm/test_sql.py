@@ -13,7 +13,7 @@ SF = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 @pytest.mark.parametrize("name", sorted(registry.ORACLES))
 def test_query_equals_sql(spark, name):
     duck = duckdb.connect()
-    for table in ("documents", "benchmark", "labels", "conversations"):
+    for table in ("documents", "benchmark", "labels", "conversations", "embeddings"):
         duck.sql(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     found = registry.QUERIES[name](spark, SF)
     columns = sorted(found.columns)
