@@ -12,6 +12,7 @@ from landfall.llm import (
     leaks,
     linejoin,
     lm,
+    minhash,
     negatives,
     packing,
     quotes,
@@ -29,6 +30,7 @@ QUERIES = {
     "op8_language_id": langid.op8_language_id,
     "op9_toxicity": severity.op9_toxicity,
     "op10_ngram_jaccard_join": jaccard.op10_ngram_jaccard_join,
+    "op11_minhash_dedup": minhash.op11_minhash_dedup,
     "op12_grid_codes": gridcodes.op12_grid_codes,
     "op13_hard_negatives": negatives.op13_hard_negatives,
     "pipeline": corpus_pipeline.run,
@@ -38,6 +40,7 @@ ORACLES = {
     "op4_exact_dedup": exact.OP4_SQL,
     "op6_line_dedup": linejoin.OP6_SQL,
     "op10_ngram_jaccard_join": jaccard.OP10_SQL,
+    "op11_minhash_dedup": minhash.OP11_SQL,
     "op12_grid_codes": gridcodes.OP12_SQL,
     "op13_hard_negatives": negatives.OP13_SQL,
 }
