@@ -25,6 +25,47 @@ def null_flags(fact: DataFrame) -> DataFrame:
     return fact.select(*flags).dropDuplicates()
 
 
+def sums_by_year(fact: DataFrame) -> dict[int | None, dict]:
+    """Of each year the arrivals, the rows with a missing key and the combinations of missing keys.
+
+    Such sums of different years add up, so a year that did not change need not be read again.
+    """
+    flags = F.array(*[F.isnull(column) for column in FACT_KEYS])
+    by_year = fact.groupBy("year").agg(
+        F.sum("to_immigration_state_count").alias("arrivals"),
+        F.count_if(F.array_contains(flags, True)).alias("missing"),
+        F.collect_set(flags).alias("flags"),  # 16 at most
+    )
+    return {
+        row["year"]: {"arrivals": row["arrivals"], "missing": row["missing"], "flags": row["flags"]}
+        for row in by_year.collect()
+    }
+
+
+def report_of_sums(spark, sums, dimensions=None) -> DataFrame:
+    """``quality_report`` from the sums of all years."""
+    arrivals, missing = sum(s["arrivals"] for s in sums), sum(s["missing"] for s in sums)
+    rows = spark.createDataFrame(
+        [("total arrivals", arrivals > 0, arrivals), ("rows with a missing key", missing == 0, missing)],
+        "check string, passed boolean, observed bigint",
+    )
+    for check, (dimension, keys) in (dimensions or {}).items():
+        rows = rows.unionByName(repeated_keys(dimension, keys, check))
+    return rows
+
+
+def total_of_sums(spark, sums) -> DataFrame:
+    """``total_arrivals`` from the sums of all years."""
+    total = sum(s["arrivals"] for s in sums) if sums else None
+    return spark.createDataFrame([(total,)], "fact_table_count bigint")
+
+
+def null_flags_of_sums(spark, sums) -> DataFrame:
+    """``null_flags`` from the sums of all years."""
+    found = sorted({tuple(flags) for s in sums for flags in s["flags"]})
+    return spark.createDataFrame(found, ", ".join(f"{name} boolean" for name in FACT_KEYS.values()))
+
+
 def repeated_keys(dimension: DataFrame, keys, check) -> DataFrame:
     """How many keys of a dimension occur more than once; the star join needs none."""
     repeated = dimension.groupBy(*keys).count().where("count > 1")

@@ -69,9 +69,10 @@ def run_job(spark: SparkSession, cfg: JobConfig) -> JobResult:
     aliases = fixed_list(spark, STATE_ALIASES) if cfg.use_state_aliases else None
     trim_keys = not cfg.raw_labels
 
-    i94 = readers.read_admissions(spark, cfg.admissions, cfg.admissions_format)
-    if cfg.year_only is not None:
-        i94 = i94.where(f"i94yr = {float(cfg.year_only)}D")
+    # with saved counts only the view reads all extracts, if anyone asks it
+    i94 = readers.read_admissions(
+        spark, cfg.admissions, cfg.admissions_format, cfg.year_only, check=cfg.saved_counts is None
+    )
 
     temperature, demographics, airport = small_sides(
         dimensions.dim_temperature(
@@ -106,12 +107,10 @@ def run_job(spark: SparkSession, cfg: JobConfig) -> JobResult:
     fact = facts.fact_arrivals(counts, temperature, demographics, airport)
     # what the output will hold is checked before it takes the place of the published one
     staged = readers.stage_fact(fact, cfg.output)
-    coming = readers.read_fact(spark, staged)
-    if cfg.year_only is not None:
-        others = readers.read_fact(spark, cfg.output).where(F.col("year") != cfg.year_only)
-        coming = coming.unionByName(others)
-    checks = quality.quality_report(
-        coming,
+    coming = readers.checks_of(spark, cfg.output, staged.with_published(cfg.year_only))
+    checks = quality.report_of_sums(
+        spark,
+        list(coming.values()),
         {
             "temperature keys": (temperature, ["state_abbreviations", "month"]),
             "demographics keys": (demographics, ["state_code"]),
@@ -123,8 +122,13 @@ def run_job(spark: SparkSession, cfg: JobConfig) -> JobResult:
         try:
             quality.enforce(report)
         except RuntimeError:
-            readers.drop_staged(spark, staged)
+            staged.drop()
             raise
-    readers.publish_fact(spark, staged, cfg.output, cfg.year_only)
-    written = readers.read_fact(spark, cfg.output)
-    return JobResult(written, quality.total_arrivals(written), quality.null_flags(written), report)
+    entries = readers.publish_fact(staged, cfg.year_only)
+    sums = list(readers.checks_of(spark, cfg.output, entries).values())
+    return JobResult(
+        readers.read_fact(spark, cfg.output),
+        quality.total_of_sums(spark, sums),
+        quality.null_flags_of_sums(spark, sums),
+        report,
+    )

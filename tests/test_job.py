@@ -14,7 +14,8 @@ from landfall import schemas
 from landfall.operators import dimensions, facts
 from landfall.operators.lookups import code_list
 from landfall.plans.job import JobConfig, run_job
-from landfall.sources import readers
+from landfall.sources import readers, versions
+from landfall.streaming import increments
 from landfall.streaming.increments import add_increment, saved_counts
 
 
@@ -170,12 +171,17 @@ def test_interrupted_runs_and_empty_files(spark, golden, landing, tmp_path):
     golden.admissions.write.parquet(str(folder))
     golden.admissions.limit(0).coalesce(1).write.mode("append").parquet(str(folder))
     found, full = run()
-    saved = sorted(p.name for p in (tmp_path / "counts").iterdir())
+    counts = tmp_path / "counts"
+    saved = sorted(p.name for p in (counts / "counts").iterdir())
     assert found == full and run()[0] == full
-    assert sorted(p.name for p in (tmp_path / "counts").iterdir()) == saved  # nothing is read again
-    # the same files counted by a second run count once
-    stored = next(p for p in (tmp_path / "counts").iterdir() if p.name.startswith("run=") and p.name != "run=none")
-    shutil.copytree(stored, tmp_path / "counts" / "run=zzz")
+    assert sorted(p.name for p in (counts / "counts").iterdir()) == saved  # nothing is read again
+    # what a run wrote before it was killed does not count
+    for kind in ("ledger", "counts"):
+        stored = next((counts / kind).glob("_data=*"))
+        shutil.copytree(stored, counts / kind / "_data=zzz")
+    assert run()[0] == full
+    # the same files counted by a second run at once count once
+    versions.commit(spark, str(counts), lambda now: now.entries | increments._entry("_data=zzz", now.version))
     assert run()[0] == full
 
 
