@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from landfall.llm.common import saved, ship
 from landfall.llm.vectors import EXACT, extent, matrix, scaled, usable
 
-CELL = 64  # units a side; changes the work, never the result
+CELL = 16  # units a side; changes the work, never the result
 CACHED = 1 << 15  # cells kept by a task for each part position; further ones are worked out anew
 AT_ONCE = 1 << 12  # parts assigned at once
 
@@ -31,22 +31,23 @@ AT_ONCE = 1 << 12  # parts assigned at once
 class GridCodebook:
     """The entries of one part position with the cache of their cells."""
 
-    def __init__(self, entries: np.ndarray, cell=CELL):
-        self.entries, self.cell = entries, cell
+    def __init__(self, entries: np.ndarray, cell=CELL, kind=np.int64):
+        self.entries, self.cell, self.kind = entries, cell, kind
         self.cached = {}
 
-    def survivors(self, corners: np.ndarray) -> np.ndarray:
-        """(cells, entries): which entries are not dominated across the cell with this lowest corner."""
-        least = np.zeros((len(corners), len(self.entries)), np.int64)
+    def survivors(self, cells: np.ndarray) -> np.ndarray:
+        """(cells, entries): which entries are not dominated across the cell."""
+        least = np.zeros((len(cells), len(self.entries)), self.kind)
         most = np.zeros_like(least)
-        for place in range(corners.shape[1]):
-            low = corners[:, place, None]
-            entry = self.entries[None, :, place]
-            below, above = entry - low, low + self.cell - 1 - entry
+        for place in range(cells.shape[1]):
+            # cells share coordinates: one row of distances for each that occurs
+            number, which = np.unique(cells[:, place], return_inverse=True)
+            below = self.entries[None, :, place] - self.cell * number[:, None]
+            above = self.cell - 1 - below
             outside = np.maximum(np.maximum(-below, -above), 0)
-            least += outside * outside
             farthest = np.maximum(np.abs(below), np.abs(above))
-            most += farthest * farthest
+            least += (outside * outside).astype(self.kind)[which]
+            most += (farthest * farthest).astype(self.kind)[which]
         return least <= most.min(axis=1, keepdims=True)
 
     def candidates(self, cells: np.ndarray) -> np.ndarray:
@@ -54,10 +55,8 @@ class GridCodebook:
         names = [c.tobytes() for c in cells]
         known = [self.cached.get(name) for name in names]
         missing = [at for at, bits in enumerate(known) if bits is None]
-        for low in range(0, len(missing), 1024):
-            part = missing[low : low + 1024]
-            found = np.packbits(self.survivors(cells[part] * self.cell), axis=1)
-            for at, bits in zip(part, found):
+        if missing:
+            for at, bits in zip(missing, np.packbits(self.survivors(cells[missing]), axis=1)):
                 known[at] = bits
                 if len(self.cached) < CACHED:
                     self.cached[names[at]] = bits
@@ -125,14 +124,16 @@ def grid_codes(
     )
     longest, largest = extent(rows)
     width = max(-(-longest // parts), 1)
-    if (2 * largest + 2 * cell) ** 2 * width >= EXACT:
+    farthest = (2 * largest + 2 * cell) ** 2 * width
+    if farthest >= EXACT:
         raise OverflowError("components are too large for exact 64-bit distances")
+    kind = np.int32 if farthest < 1 << 31 else np.int64
     first = rows.orderBy(F.asc_nulls_last("key"), "values").limit(entries).select("values").toArrow()
     first = first.column(0).combine_chunks()
     books = matrix(first, parts * width).reshape(len(first), parts, width).transpose(1, 0, 2).copy()
 
     def assigned(batches, books):
-        held = [GridCodebook(book, cell) for book in books]
+        held = [GridCodebook(book, cell, kind) for book in books]
         for batch in batches:
             cut = matrix(batch.column(2), parts * width).reshape(batch.num_rows, parts, width)
             found = [held[p].nearest(np.ascontiguousarray(cut[:, p])) for p in range(parts)]
@@ -143,7 +144,8 @@ def grid_codes(
             sums = np.zeros((parts, books.shape[1], width + 1), np.int64)
             for _, cut, found in assigned(batches, books):
                 for p, (index, _) in enumerate(found):
-                    np.add.at(sums[p, :, 1:], index, cut[:, p])
+                    used, first = np.unique(index[order := index.argsort(kind="stable")], return_index=True)
+                    sums[p, used, 1:] += np.add.reduceat(cut[order, p], first)
                     sums[p, :, 0] += np.bincount(index, minlength=books.shape[1])
             part, entry = np.nonzero(sums[:, :, 0])
             total = sums[part, entry]
