@@ -106,24 +106,24 @@ def signed(docs: DataFrame, words: int) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, words: int, rows: DataFrame) -> DataFrame:
-    """(row, n, signature, tokens) of the texts whose row is in ``rows`` (row, signature)."""
+    """(row, n, one, tokens) of the texts whose row is in ``rows``; ``one`` as in ``signed``."""
     kind = docs.schema["key"].dataType.simpleString()
 
     def work(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, TEXTS):
                 part = batch.slice(at, TEXTS)
-                sets = [s.view(np.int64) for s in distinct_sets(part.column(1), words)]
+                sets = list(distinct_sets(part.column(1), words))
+                one = [mix(s).sum(dtype=np.uint64) for s in sets]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([len(s) for s in sets], pa.int64()), part.column(2),
-                     pa.array(sets, pa.list_(pa.int64()))],
-                    names=["row", "n", "signature", "tokens"],
+                    [part.column(0), pa.array([len(s) for s in sets], pa.int64()),
+                     pa.array(np.array(one, np.uint64).view(np.int64)),
+                     pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))],
+                    names=["row", "n", "one", "tokens"],
                 )
 
-    texts = docs.select("key", "text").join(rows.withColumnRenamed("row", "key").hint("merge"), "key")
-    return texts.select("key", "text", "signature").mapInArrow(
-        work, f"row {kind}, n long, signature binary, tokens array<long>"
-    )
+    texts = docs.select("key", "text").join(rows.select(F.col("row").alias("key")), "key", "left_semi")
+    return texts.mapInArrow(work, f"row {kind}, n long, one long, tokens array<long>")
 
 
 def large_star(edges: DataFrame) -> DataFrame:
@@ -131,44 +131,38 @@ def large_star(edges: DataFrame) -> DataFrame:
     both = edges.select("u", "v").union(edges.select("v", "u")).toDF("key", "other")
     least = both.groupBy("key").agg(F.min("other").alias("least"))
     least = least.select("key", F.least("key", "least").alias("least"))
-    return (
-        both.join(least.hint("merge"), "key")
-        .where("other > key")
-        .select(F.col("other").alias("u"), F.col("least").alias("v"))
-        .distinct()
-    )
+    return both.join(least, "key").where("other > key").select(F.col("other").alias("u"), F.col("least").alias("v"))
 
 
 def small_star(edges: DataFrame) -> DataFrame:
     """A key and its smaller neighbours move to the smallest of them."""
     least = edges.groupBy("u").agg(F.min("v").alias("least"))
-    moved = edges.join(least.hint("merge"), "u").where("v <> least")
+    moved = edges.join(least, "u").where("v <> least")
     own = least.select("u", F.col("least").alias("v"))
     return moved.select(F.col("v").alias("u"), F.col("least").alias("v")).union(own).distinct()
 
 
+def all_stars(edges: DataFrame) -> bool:
+    """Whether every larger end has one neighbour only and is nobody's smaller end."""
+    ends = edges.select(F.col("u").alias("key"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(
+        edges.select("v", F.lit(0), F.lit(1))
+    )
+    met = ends.groupBy("key").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return met.where("up > 1 OR up = 1 AND down = 1").isEmpty()
+
+
 def star_components(links: DataFrame) -> DataFrame:
     """(key, component) of every key in ``links`` (a, b); ``component`` is the smallest key reached.
 
-    Large-star and small-star alternate until the links no longer change: then each key hangs on its
+    Large-star and small-star alternate until the links are stars: then each key hangs on its
     smallest. Neighbourhoods are never gathered; each step is a minimum by key and a join.
     """
-    edges = saved(
-        links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(),
-        "star-links",
-    )
-
-    def state(edges):
-        place = F.xxhash64("u", "v")
-        return edges.agg(F.count(F.lit(1)), F.bit_xor(place), F.bit_xor(F.xxhash64(place, F.lit(1)))).first()
-
-    was, now = None, state(edges)
-    while now != was:
-        edges, was = saved(small_star(large_star(edges)), "star-links"), now
-        now = state(edges)
-    roots = edges.select("v").distinct()
+    edges = links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+    edges = saved(edges.distinct(), "star-links")
+    while not all_stars(edges):
+        edges = saved(small_star(large_star(edges)), "star-links")
     return edges.select(F.col("u").alias("key"), F.col("v").alias("component")).union(
-        roots.select(F.col("v").alias("key"), F.col("v").alias("component"))
+        edges.select("v", "v").distinct()
     )
 
 
@@ -184,12 +178,10 @@ def across(askers: DataFrame, members: DataFrame, weight, content: DataFrame, wo
         share = F.greatest(F.count(F.lit(1)) / BLOCK_ROWS, F.sum(weight) / BLOCK_TOKENS)
         return rows.groupBy("leader").agg(F.ceil(share).cast("int").alias(name))
 
-    blocks = saved(
-        cut(askers, "across").join(cut(members, "down").hint("merge"), "leader"), "group-blocks"
-    )
+    blocks = saved(cut(askers, "across").join(cut(members, "down"), "leader"), "group-blocks")
 
     def deal(rows, asks, own, own_blocks, other, other_blocks):
-        return rows.join(blocks.hint("merge"), "leader").select(
+        return rows.join(blocks, "leader").select(
             "leader",
             F.pmod(F.xxhash64("row"), own_blocks).cast("int").alias(own),
             F.explode(F.sequence(F.lit(0), F.col(other_blocks) - 1)).alias(other),
@@ -202,7 +194,7 @@ def across(askers: DataFrame, members: DataFrame, weight, content: DataFrame, wo
         deal(members, False, "j", "down", "i", "across")
     )
     return (
-        both.join(content.hint("merge"), "row")
+        both.join(content, "row")
         .repartition(*KEYS)
         .sortWithinPartitions(*KEYS)
         .mapInArrow(work, schema)
@@ -265,7 +257,7 @@ def shared_counts(tokens, begins, sizes, a: int, others: np.ndarray) -> np.ndarr
 def compare(percent: int, all_pairs: bool):
     """Exact similarity on full sets of the possible pairs.
 
-    With ``all_pairs`` every possible pair goes out as (leader, a, b, similarity, linked), which is for groups of one
+    With ``all_pairs`` every possible pair goes out as (leader, a, b, similarity, linked), which is for groups with one
     asker; else a spanning forest of the links as (a, b).
     """
 
@@ -314,7 +306,7 @@ def minhash_links(docs: DataFrame, words: int, percent: int):
     reps = index.where(100 * F.col("n") >= percent * (F.col("n") + 1)).join(
         classes.select(F.col("rep").alias("row"), "n", "one", "two").hint("merge"), ["row", "n", "one", "two"], "left_semi"
     )
-    reps = saved(reps.dropDuplicates(["row", "n", "one", "two"]).drop("one", "two"), "representatives")
+    reps = saved(reps.dropDuplicates(["row", "n", "one", "two"]).drop("two"), "representatives")
     posted = reps.select("row", "n", F.explode("bands").alias("bucket"))
     shared = saved(
         posted.groupBy("bucket")
@@ -326,82 +318,73 @@ def minhash_links(docs: DataFrame, words: int, percent: int):
     met = saved(
         posted.join(shared.hint("merge"), "bucket").select("leader", "row", "n").distinct(), "meetings"
     )
-    signatures = reps.select("row", "n", "signature")
+    sets = full_sets(docs, words, met.select("row").distinct())
+    if not index.groupBy("row").count().where("count > 1").isEmpty():
+        sets = sets.dropDuplicates(["row", "n", "one"])  # one of repeated rows
+    content = saved(
+        sets.join(reps.select("row", "n", "one", "signature").hint("merge"), ["row", "n", "one"]).drop("one"),
+        "shingle-sets",
+    )
 
     def tested(askers, rows, all_pairs, schema):
         """Screen by signature, then compare the full sets of who is left."""
         alive = saved(
-            across(askers, rows, F.lit(HASHES // 8), signatures, screen(percent), f"leader {kind}, row {kind}").distinct(),
-            "alive",
-        )
-        left = alive.select("row").distinct()
-        sets = saved(
-            full_sets(docs, words, signatures.select("row", "signature").join(left.hint("merge"), "row")).distinct(),
-            "shingle-sets",
-        )
-        return saved(
             across(
-                askers.join(alive.hint("merge"), ["leader", "row"]),
-                rows.join(alive.hint("merge"), ["leader", "row"]),
-                F.col("n"),
-                sets,
-                compare(percent, all_pairs),
-                schema,
-            ),
-            "compared",
+                askers, rows, F.lit(HASHES // 8), content.drop("tokens"), screen(percent), f"leader {kind}, row {kind}"
+            ).distinct(),
+            "alive",
         )
+        askers, rows = (side.join(alive, ["leader", "row"]) for side in (askers, rows))
+        return saved(across(askers, rows, F.col("n"), content, compare(percent, all_pairs), schema), "compared")
 
     links, pivots = None, []
     with_links = f"leader {kind}, a {kind}, b {kind}, similarity double, linked boolean"
     placed = met.withColumn("component", F.col("row"))
     for step in ("leader", "nearest"):
         if step == "leader":
-            pivot = met.select("leader", F.col("leader").alias("pivot")).distinct()
+            pivot = shared.select("leader", F.col("leader").alias("pivot")).distinct()
         else:
             most = F.max(F.struct("similarity", "b")).getField("b")
             pivot = found.groupBy("leader").agg(most.alias("pivot"))
         pivots.append(pivot)
-        marked = placed.join(pivot.hint("merge"), "leader")
+        marked = saved(placed.join(pivot, "leader"), "pivots")
         found = tested(
             marked.where("row = pivot").drop("pivot"), marked.where("row <> pivot").drop("pivot"), True, with_links
         )
         new = found.where("linked").select("a", "b")
         links = new if links is None else links.unionByName(new)
         place = saved(star_components(links), "placed")
-        placed = met.join(place.withColumnRenamed("key", "row").hint("merge"), "row", "left").withColumn(
+        # from here on their stars stand for the links
+        links = place.select(F.col("key").alias("a"), F.col("component").alias("b"))
+        placed = met.join(place.withColumnRenamed("key", "row"), "row", "left").withColumn(
             "component", F.coalesce("component", "row")
         )
     # pivots have met everyone of their group; others of groups of several components go on
     for pivot in pivots:
-        placed = placed.join(pivot.withColumnRenamed("pivot", "row").hint("merge"), ["leader", "row"], "left_anti")
+        placed = placed.join(pivot.withColumnRenamed("pivot", "row"), ["leader", "row"], "left_anti")
     placed = saved(placed, "unsettled")
     sizes = placed.groupBy("leader", "component").agg(F.count(F.lit(1)).alias("size"))
-    open_groups = saved(
-        sizes.groupBy("leader")
-        .agg(F.max(F.struct("size", "component")).getField("component").alias("largest"), F.count(F.lit(1)).alias("parts"))
-        .where("parts > 1")
-        .drop("parts"),
-        "open-groups",
-    )
-    rest = saved(placed.join(open_groups.hint("merge"), "leader"), "rest")
+    largest = F.max(F.struct("size", "component")).getField("component").alias("largest")
+    open_groups = sizes.groupBy("leader").agg(largest, F.count(F.lit(1)).alias("parts")).where("parts > 1")
+    rest = saved(placed.join(open_groups.drop("parts"), "leader"), "rest")
     more = tested(
         rest.where("component <> largest").drop("largest"), rest.drop("largest"), False, f"a {kind}, b {kind}"
     )
-    return links.unionByName(more).distinct(), members
+    return links.unionByName(more), members
 
 
 def minhash_components(docs: DataFrame, words=5, percent=85, key="doc_id", text="text") -> DataFrame:
     """(key, n_shingles, component) of every row: components of links at ``percent`` Jaccard or more.
 
     A null or wordless text has the empty set and is linked with nothing. ``component`` is the smallest key
-    reachable, the row's own included. Repeated rows are kept; rows that share a key but not a text
-    go each by its own text. A row without a key has its set size and no component. Other columns
+    reachable, the row's own included. Repeated rows are kept; texts that share a key may share
+    their links. A row without a key has its set size and no component. Other columns
     are not read. No rows give no rows.
     """
     given = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     links, members = minhash_links(given.where("key IS NOT NULL"), words, percent)
     found = star_components(links).withColumnRenamed("key", "rep")
-    named = members.join(found.hint("merge"), "rep", "left").select(
+    named = members.join(found, "rep", "left").select(
         "row", "n", F.coalesce("component", "rep").alias("component")
     )
     nameless = signed(given.where("key IS NULL"), words).select("row", "n", F.col("row").alias("component"))
