@@ -53,14 +53,16 @@ class WordTokenizer:
         """Encode words: runs of letters all at once, as each gives one end-of-word token; others singly."""
         if len(self.known) + len(words) > CACHE:
             self.known = {"": b""}
-        letters = [w for w in words if w.isalpha() and max(w) < "ɐ"]
+        # dotted capital I is two characters in lower case, of which the second is no letter
+        letters = [w for w in words if w.isalpha() and max(w) < "ɐ" and "İ" not in w]
         if letters:
             ids = np.array(self.tokenizer.encode(" ".join(letters), add_special_tokens=False).ids, "<u4")
             cuts = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
-            if len(cuts) != len(letters):
-                raise ValueError("the tokenizer does not end each word with an end-of-word token")
-            raw = ids.tobytes()
-            self.known.update(zip(letters, [raw[i:j] for i, j in zip([0, *cuts], cuts)]))
+            if len(cuts) == len(letters):
+                raw = ids.tobytes()
+                self.known.update(zip(letters, [raw[i:j] for i, j in zip([0, *cuts], cuts)]))
+            else:  # a tokenizer that ends words otherwise
+                letters = []
         for word in words.difference(letters):
             self.known[word] = self.encode(word)
 
@@ -83,11 +85,14 @@ class WordTokenizer:
 def separated(text):
     """Words between ASCII white space; in Latin-1 texts in lower case, and signs after a last letter apart.
 
-    The tokenizer itself lowers letters and never joins a letter and a sign in one token.
+    The tokenizer itself lowers letters and never joins a letter and a sign in one token. It finds its
+    special tokens before that, so a text that may hold one is left as it is.
     """
     for space in "\t\n\x0b\x0c\r":
         if space in text:
             text = text.replace(space, " ")
+    if "<|" in text:
+        return text.split(" ")
     try:
         text.encode("latin-1")
     except UnicodeEncodeError:

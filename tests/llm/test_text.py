@@ -92,6 +92,24 @@ def test_ids_are_the_tokenizers(texts):
     assert [np.frombuffer(x, "<u4").tolist() for x in mine] == [e.ids for e in whole]
 
 
+def test_ids_of_every_kind_of_character():
+    """Each character alone, within a word, in capitals and before a sign; special tokens in both cases."""
+    from tokenizers import Tokenizer
+
+    path = packing.public_vocabulary()
+    points = [*range(1, 0x3000), *range(0x3000, 0x110000, 97)]
+    kinds = [chr(c) for c in points if not 0xD800 <= c < 0xE000]
+    texts = [form.replace("_", c) for c in kinds for form in ("_", "a_b", "A_", "_.", "x _ _y, z", "_stanbul")]
+    for token in ("<|endoftext|>", "<|startoftext|>"):
+        for word in (token, token.upper(), token.title(), token[:-1]):
+            texts += [word, f"A {word} B", f"A{word}B.", f"É{word}", f"İ {word}"]
+    whole = Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)
+    mine = packing.WordTokenizer(path)
+    for at in range(0, len(texts), 500):
+        for text, ids, want in zip(texts[at : at + 500], mine.ids(texts[at : at + 500]), whole[at : at + 500]):
+            assert np.frombuffer(ids, "<u4").tolist() == want.ids, repr(text)
+
+
 @pytest.mark.parametrize("size", [1, 7, 64, 4096])
 def test_best_fit_is_best_fit_decreasing(size):
     rng = random.Random(size)
