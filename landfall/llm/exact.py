@@ -8,6 +8,8 @@ Texts are told apart by their bytes alone; no digest decides.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,73 +24,81 @@ def normalised(text):
     return F.coalesce(F.regexp_replace(text, r"[\x20\x09-\x0D]+", " "), F.lit(""))
 
 
-def duplicate_classes(docs: DataFrame, key="doc_id", text="text") -> DataFrame:
-    """(key, keep, size) of every row whose normalised text occurs more than once.
+def classified(docs: DataFrame, key="doc_id", text="text") -> DataFrame:
+    """(key, keep, size, text_sha256) of every given row, repeated ones as often as they are given.
 
-    ``keep`` is the smallest key of the class. Keys are taken to be unique; rows with a
-    null key count as rows but never become ``keep`` while another key is there.
-    Each round groups (group, digit) with partial counts per task, saves the groups of
+    ``keep`` is the smallest key among the rows of equal texts, and ``size`` their number. Repeated keys
+    are fine: each row goes by its own text. Null keys count as rows but become ``keep`` only where no
+    row has another. The digest is passed through; it tells rows of one key apart later, never texts.
+
+    Each round groups (group, digit) with partial counts per task, numbers and saves the groups of
     two and more, and joins them to the rows; a hot group is split by the skew join. The join
     is always a merge join, so that the plan is the same at every size.
     The text travels once, rests only for rows that still share a group.
     """
-    spark = docs.sparkSession
     rows = docs.select(
-        F.col(key).alias("key"), F.encode(normalised(F.col(text)), "UTF-8").alias("rest")
-    ).withColumn("group", F.octet_length("rest").cast("long"))
+        F.col(key).alias("key"),
+        F.encode(normalised(F.col(text)), "UTF-8").alias("rest"),
+    ).select(
+        "key", F.sha2("rest", 256).alias("text_sha256"), "rest", F.octet_length("rest").cast("long").alias("group")
+    )
     done, width = [], FIRST_DIGIT
+    alone = F.col("size").isNull()
     while True:
         split = rows.withColumn("digit", F.substring("rest", 1, width))
         groups = saved(
             split.groupBy("group", "digit")
             .agg(F.min("key").alias("keep"), F.count(F.lit(1)).alias("size"))
-            .where("size > 1"),
+            .where("size > 1")
+            .withColumn("number", F.monotonically_increasing_id()),
             "radix-groups",
         )
         if groups.isEmpty():
+            done.append(rows.select("key", F.col("key").alias("keep"), F.lit(1).cast("long").alias("size"), "text_sha256"))
             break
-        ended = F.octet_length("rest") <= width
+        goes_on = ~alone & (F.octet_length("rest") > width)
         rows = saved(
-            split.join(groups.hint("merge"), ["group", "digit"]).select(
+            split.join(groups.hint("merge"), ["group", "digit"], "left").select(
                 "key",
-                F.when(~ended, F.expr(f"substring(rest, {width + 1})")).alias("rest"),
-                F.col("keep").alias("group"),
-                "size",
+                "text_sha256",
+                F.when(goes_on, F.expr(f"substring(rest, {width + 1})")).alias("rest"),
+                F.col("number").alias("group"),
+                F.when(alone, F.col("key")).otherwise(F.col("keep")).alias("keep"),
+                F.coalesce("size", F.lit(1)).alias("size"),
             ),
             "radix-rows",
         )
-        done.append(rows.where("rest IS NULL").select("key", F.col("group").alias("keep"), "size"))
-        rows = rows.where("rest IS NOT NULL").select("key", "rest", "group")
+        done.append(rows.where("rest IS NULL").select("key", "keep", "size", "text_sha256"))
+        rows = rows.where("rest IS NOT NULL").select("key", "text_sha256", "rest", "group")
         width *= GROWTH
-    empty = spark.createDataFrame([], docs.select(F.col(key).alias("key")).schema).select(
-        "key", F.col("key").alias("keep"), F.lit(0).cast("long").alias("size")
-    )
-    for part in done:
-        empty = empty.unionByName(part)
-    return empty
+    return reduce(DataFrame.unionByName, done)
+
+
+def duplicate_classes(docs: DataFrame, key="doc_id", text="text") -> DataFrame:
+    """(key, keep, size) of every row whose normalised text occurs more than once."""
+    return classified(docs, key, text).where("size > 1").select("key", "keep", "size")
 
 
 def exact_dedup(docs: DataFrame, key="doc_id", text="text") -> DataFrame:
     """The given rows, one of each class of equal texts: the one with the smallest key.
 
-    All columns stay as they are. A null text equals an empty one. Rows with equal keys
-    and equal texts stay together, as nothing tells which of them to keep.
+    All columns stay as they are, whatever their names. A null text equals an empty one. Rows with
+    equal keys and equal texts stay together, as nothing tells which of them to keep, and so do
+    rows without a key. Where a key has several texts, each of its rows goes by its own.
     """
-    classes = duplicate_classes(docs, key, text)
-    dropped = classes.where(F.col("key") > F.col("keep")).select(F.col("key").alias("dropped_key"))
-    return docs.join(dropped, docs[key] == F.col("dropped_key"), "left_anti")
+    dropped = classified(docs, key, text).where("key > keep").select("key", "text_sha256").distinct()
+    dropped = saved(dropped, "dropped")
+    own = F.sha2(F.encode(normalised(docs[text]), "UTF-8"), 256)
+    return docs.join(dropped, (docs[key] == dropped["key"]) & (own == dropped["text_sha256"]), "left_anti")
 
 
 def op4_exact_dedup(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    classes = duplicate_classes(docs)
-    digest = docs.select("doc_id", F.sha2(normalised(F.col("text")), 256).alias("text_sha256"))
-    keep = F.coalesce("keep", "doc_id")
-    return digest.join(classes.withColumnRenamed("key", "doc_id"), "doc_id", "left").select(
-        "doc_id",
-        keep.alias("keep_id"),
-        F.coalesce("size", F.lit(1)).cast("long").alias("group_size"),
-        (keep == F.col("doc_id")).alias("kept"),
+    return classified(docs).select(
+        F.col("key").alias("doc_id"),
+        F.col("keep").alias("keep_id"),
+        F.col("size").alias("group_size"),
+        (F.col("keep") == F.col("key")).alias("kept"),
         "text_sha256",
     )
 
