@@ -511,8 +511,8 @@ def near_components(docs: DataFrame, words=5, percent=80, key="doc_id", text="te
 def without_near_copies(docs: DataFrame, words=5, percent=80, key="doc_id", text="text") -> DataFrame:
     """The rows of ``docs``, all columns as they are, one of each component: that with the smallest key."""
     found = near_components(docs, words, percent, key, text)
-    dropped = found.where(F.col("component") < F.col(key)).select(F.col(key).alias("dropped_key"))
-    return docs.join(dropped, docs[key] == F.col("dropped_key"), "left_anti")
+    dropped = saved(found.where(F.col("component") < F.col(key)).select(F.col(key)), "dropped")
+    return docs.join(dropped, docs[key] == dropped[key], "left_anti")
 
 
 def op10_ngram_jaccard_join(spark, sf_dir):

@@ -59,6 +59,38 @@ def test_no_rows_and_null_keys(spark, no_docs):
     assert exact.exact_dedup(rows).count() == 3  # repeated keys and null keys are not told apart
 
 
+def test_every_given_row_has_its_class(spark, tmp_path):
+    """Repeated rows, keys with several texts, null keys, texts that differ after equal beginnings."""
+    tail = "t" * 200
+    rows = [(1, "a"), (1, "a"), (2, "a"), (5, "a" * 64 + tail), (6, "a" * 64 + tail), (5, "b" * 64 + tail), (7, "b" * 64 + tail),
+            (None, "n" * 300), (None, "n" * 300), (None, "m"), (None, None), (8, ""), (1, "c"), (1, "d" * 100), (0, "d" * 100)]
+    groups = {}
+    for key, text in rows:
+        groups.setdefault(squeezed(text), []).append(key)
+    want = []
+    for key, text in rows:
+        same = groups[squeezed(text)]
+        keep = min((k for k in same if k is not None), default=None)
+        sha = hashlib.sha256(squeezed(text).encode()).hexdigest()
+        want.append((key, keep, len(same), None if None in (key, keep) else key == keep, sha))
+    docs = spark.createDataFrame([(*r, 1, "s") for r in rows], "doc_id long, text string, key int, dropped_key string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    found = exact.op4_exact_dedup(spark, str(tmp_path))
+    assert sorted((tuple(r) for r in found.collect()), key=repr) == sorted(want, key=repr)
+    kept = exact.exact_dedup(docs)
+    assert kept.schema == docs.schema
+    left = sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr)
+    assert left == sorted((r for r, w in zip(rows, want) if w[0] is None or w[3]), key=repr)
+
+
+def test_near_copies_of_a_key_named_column(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    docs = spark.createDataFrame([(1, text, 1, 2), (2, text + " x", 1, 2), (3, None, 1, 2)],
+                                 "doc_id long, text string, dropped_key int, component int")
+    kept = jaccard.without_near_copies(docs)
+    assert kept.schema == docs.schema and sorted(r.doc_id for r in kept.collect()) == [1, 3]
+
+
 def test_components(spark):
     rng = random.Random(3)
     links = [(i, i + 1) for i in range(50)] + [(rng.randrange(100, 400), rng.randrange(100, 400)) for _ in range(220)]
