@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from landfall.operators import facts, sizes
 from landfall.operators.sizes import small_side
-from landfall.plans import catalog, expressions, products, scans, shapes  # noqa: F401
+from landfall.plans import catalog, deliveries, expressions, products, scans, shapes  # noqa: F401
 from landfall.sources import readers, tables
 
 SF = "/root/testdata/sf0.001"
