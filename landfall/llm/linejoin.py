@@ -4,10 +4,17 @@ Two lines within edit distance t, cut into t+1 segments, share one of the shorte
 nearly the same place: every line indexes its segments by (its length, number, text) and probes
 the substrings where a line of the same or up to t fewer characters could have them. Candidates
 are verified by a banded bit-parallel automaton: one mask of 2t+1 diagonals per number of errors.
+
+With one error, an entry fixes all of a line but a window (the other segment). Lines of an entry that many
+share are not paired: their windows are cut into two segments again, one of which must be shared as
+well, and so on. Lines that share all but a single character are a chain of links to the first of them.
+So the work for an entry grows with the number of its lines times the logarithm of their length.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,7 +22,7 @@ from landfall.llm.common import saved
 from landfall.llm.components import components
 
 ERRORS = 1
-LEAST_CHARS = 24  # shorter lines are only compared for equality
+FEW = 16  # lines of an entry that are compared in pairs
 #: A run of white space that is not one plain space already, so most words need no replacement.
 UNEVEN_SPACE = r"[\x20\x09-\x0D](?:[\x20\x09-\x0D]+|(?<!\x20))"
 
@@ -63,7 +70,7 @@ def probe_entries(line, errors):
 
 
 def characters(line):
-    return F.transform(F.sequence(F.lit(1), F.length(line)), lambda i: F.substring(line, i, F.lit(1)))
+    return F.split(line, "")
 
 
 def within_distance(chars_a, chars_b, errors):
@@ -100,50 +107,141 @@ def within_distance(chars_a, chars_b, errors):
     return (F.abs(apart) <= errors) & (reached > 0)
 
 
-def similar_lines(docs: DataFrame, key="doc_id", text="text", errors=ERRORS, least=LEAST_CHARS):
-    """Distinct lines (line, first, n) and the links (a, b) between those within ``errors`` edits.
+def entries_of_one(lines: DataFrame) -> DataFrame:
+    """(entry, line, start, width, base) of the two segments of each line, for partners as long and one shorter.
+
+    The rest of the line is a window of ``width`` characters from ``start`` on; ``base`` is its width in
+    the shorter of the two lines, so a row with base = width is of a line that may be the shorter one.
+    """
+    n = F.length("text")
+
+    def entry(number, longer):
+        base = n - longer
+        half = F.floor(base / 2).cast("int")
+        if number == 0:
+            kept, start, width, rest = F.substring("text", 1, half), half, n - half, base - half
+        else:
+            kept, start, width, rest = F.substring("text", half + 1 + longer, base - half), F.lit(0), half + longer, half
+        return F.struct(
+            F.xxhash64(F.lit(number), base, kept).alias("entry"),
+            start.alias("start"), width.alias("width"), rest.alias("base"),
+        )
+
+    own, longer = ([entry(number, more) for number in (0, 1)] for more in (0, 1))
+    found = F.when(n > 2, F.array(*own, *longer)).otherwise(F.array(*own))
+    return lines.where(n > 1).select("line", F.explode(found).alias("e")).select("line", "e.*")
+
+
+def entries_within(rows: DataFrame, lines: DataFrame) -> DataFrame:
+    """The same for the two segments of each row's window."""
+    half = F.floor(F.col("base") / 2).cast("int")
+    more = F.col("width") - F.col("base")
+    first = F.struct(
+        F.xxhash64("entry", F.lit(0), F.substring("text", F.col("start") + 1, half)).alias("entry"),
+        (F.col("start") + half).alias("start"), (F.col("width") - half).alias("width"), (F.col("base") - half).alias("base"),
+    )
+    kept = F.substring("text", F.col("start") + half + more + 1, F.col("base") - half)
+    second = F.struct(
+        F.xxhash64("entry", F.lit(1), kept).alias("entry"), F.col("start"), (half + more).alias("width"), half.alias("base")
+    )
+    texts = lines.select("line", "text")
+    return rows.join(texts, "line").select("line", F.explode(F.array(first, second)).alias("e")).select("line", "e.*")
+
+
+def with_texts(pairs: DataFrame, lines: DataFrame) -> DataFrame:
+    for side in ("a", "b"):
+        pairs = pairs.join(lines.select(F.col("line").alias(side), F.col("text").alias(f"{side}_text")), side)
+    return pairs
+
+
+def verified_windows(pairs: DataFrame, lines: DataFrame) -> DataFrame:
+    """Links (a, b) of those pairs that agree outside their windows and are one edit apart within."""
+    def window(side):
+        return characters(F.substring(f"{side}_text", F.col("start") + 1, F.col(f"{side}_width")))
+
+    def outside(side):
+        text, end = F.col(f"{side}_text"), F.col("start") + F.col(f"{side}_width")
+        return F.struct(F.substring(text, F.lit(1), F.col("start")), F.substring(text, end + 1, F.length(text)))
+
+    return compared(with_texts(pairs, lines).where(outside("a") == outside("b")), window("a"), window("b"), 1)
+
+
+def compared(pairs: DataFrame, chars_a, chars_b, errors: int) -> DataFrame:
+    """Those of the pairs (a, b) that are within distance; characters are stored first, as each step looks them up."""
+    stored = saved(pairs.select("a", "b", chars_a.alias("a_chars"), chars_b.alias("b_chars")), "line-candidates")
+    return stored.where(within_distance(F.col("a_chars"), F.col("b_chars"), errors)).select("a", "b")
+
+
+def links_of_one(lines: DataFrame) -> DataFrame:
+    """Links that connect the lines (line, text) with those one edit away; a forest suffices where many agree."""
+    level, links = entries_of_one(lines), []
+    while True:
+        shorter = F.col("width") == F.col("base")
+        shared = level.groupBy("entry").agg(F.count_if(shorter).alias("short"), F.count(F.lit(1)).alias("size"))
+        shared = saved(shared.where("short > 0 AND size > 1").select("entry", "size"), "shared-entries")
+        rows = saved(level.join(shared, "entry"), "entry-rows")
+        few = rows.where(F.col("size") <= FEW)
+        a = few.where(shorter).select("entry", "start", F.col("line").alias("a"), F.col("width").alias("a_width"))
+        b = few.select("entry", F.col("line").alias("b"), F.col("width").alias("b_width"))
+        once = (F.col("b_width") > F.col("a_width")) | (F.col("a") < F.col("b"))
+        links.append(saved(verified_windows(a.join(b, "entry").where(once), lines), "line-links"))
+        many = rows.where(F.col("size") > FEW).drop("size")
+        if many.isEmpty():
+            return reduce(DataFrame.unionByName, links)
+        links.append(saved(single_characters(many.where("base = 1"), lines), "line-links"))
+        level = saved(entries_within(many.where("base > 1"), lines), "entries")
+
+
+def single_characters(rows: DataFrame, lines: DataFrame) -> DataFrame:
+    """Links of lines that share all but a window of one character, or two in the longer of them."""
+    texts = rows.join(lines.select("line", "text"), "line").withColumn(
+        "window", characters(F.substring("text", F.col("start") + 1, F.col("width")))
+    )
+    short = texts.where("width = 1").select("entry", "start", "line", F.col("window")[0].alias("sign"))
+    first = short.groupBy("entry").agg(F.min("line").alias("a"))
+    by_sign = short.groupBy("entry", "sign").agg(F.min("line").alias("a"))
+    pairs = short.join(first, "entry").select("a", F.col("line").alias("b"), "start", F.lit(1).alias("b_width"))
+    longer = texts.where("width = 2").select("entry", "start", F.col("line").alias("b"), F.explode("window").alias("sign"))
+    longer = longer.join(by_sign, ["entry", "sign"]).select("a", "b", "start", F.lit(2).alias("b_width"))
+    both = pairs.unionByName(longer).where("a <> b").withColumn("a_width", F.lit(1))
+    return verified_windows(both, lines)
+
+
+def links_of_pairs(lines: DataFrame, errors: int) -> DataFrame:
+    """Links (a, b) between all lines (line, text) within ``errors`` edits, by pairs that share an entry."""
+    n = F.length("text")
+    lines = lines.where(n > errors)
+    index = lines.select(F.explode(index_entries(F.col("text"), errors)).alias("entry"), F.col("line").alias("a"), n.alias("a_n"))
+    probe = lines.select(F.explode(probe_entries(F.col("text"), errors)).alias("entry"), F.col("line").alias("b"), n.alias("b_n"))
+    shorter = (F.col("a_n") < F.col("b_n")) | ((F.col("a_n") == F.col("b_n")) & (F.col("a") < F.col("b")))
+    pairs = index.join(probe.hint("merge"), "entry").where(shorter).select("a", "b").distinct()
+    near = compared(with_texts(pairs, lines), characters(F.col("a_text")), characters(F.col("b_text")), errors)
+    return saved(near, "line-links")
+
+
+def similar_lines(docs: DataFrame, key="doc_id", text="text", errors=ERRORS, least=0):
+    """Distinct lines (line, first, n) and links (a, b) that connect those within ``errors`` edits.
 
     A line goes by a 128-bit digest; ``first`` is its first place (key, pos). Equal lines are summed
-    before anything is compared, so a line that is everywhere is one row.
+    before anything is compared, so a line that is everywhere is one row. Lines of fewer than ``least``
+    characters, or of no more than ``errors``, are compared for equality only.
     """
     rows = line_rows(docs, key, text)
     digest = F.struct(F.xxhash64("line").alias("one"), F.xxhash64(F.lit(1), "line").alias("two"))
-    long_enough = F.length("line") >= max(least, errors + 1)
     lines = saved(
-        rows.select(
-            digest.alias("line"),
-            F.struct("key", "pos").alias("first"),
-            F.when(long_enough, F.length("line")).alias("n"),
-            F.when(long_enough, index_entries(F.col("line"), errors)).alias("index"),
-            F.when(long_enough, probe_entries(F.col("line"), errors)).alias("probe"),
-        )
-        .groupBy("line")
-        .agg(F.min("first").alias("first"), F.first("n").alias("n"), F.first("index").alias("index"), F.first("probe").alias("probe")),
-        "lines",
-    )
-    index = lines.select(F.explode("index").alias("entry"), F.col("line").alias("a"), F.col("n").alias("a_n"))
-    probe = lines.select(F.explode("probe").alias("entry"), F.col("line").alias("b"), F.col("n").alias("b_n"))
-    shorter = (F.col("a_n") < F.col("b_n")) | ((F.col("a_n") == F.col("b_n")) & (F.col("a") < F.col("b")))
-    pairs = saved(
-        index.join(probe.hint("merge"), "entry").where(shorter).select("a", "b").distinct(), "line-candidates"
-    )
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("line")).distinct()
-    texts = saved(
-        rows.select(digest.alias("digest"), "line")
-        .join(wanted.select(F.col("line").alias("digest")).hint("merge"), "digest", "left_semi")
+        rows.select(digest.alias("digest"), F.struct("key", "pos").alias("first"), "line")
         .groupBy("digest")
-        .agg(F.min("line").alias("line"))
-        .select("digest", characters(F.col("line")).alias("chars")),
-        "candidate-lines",
+        .agg(F.min("first").alias("first"), F.first("line").alias("text"))
+        .withColumnRenamed("digest", "line"),
+        "lines",
     )
-    for side in ("a", "b"):
-        named = texts.select(F.col("digest").alias(side), F.col("chars").alias(f"{side}_chars"))
-        pairs = pairs.join(named, side)
-    links = pairs.where(within_distance(F.col("a_chars"), F.col("b_chars"), errors)).select("a", "b")
-    return lines.select("line", "first", "n"), saved(links, "line-links")
+    n = F.length("text")
+    texts = lines.where(n >= least).select("line", "text")
+    links = links_of_one(texts) if errors == 1 else links_of_pairs(texts, errors)
+    return lines.select("line", "first", n.alias("n")), links
 
 
-def line_dedup(docs: DataFrame, key="doc_id", text="text", errors=ERRORS, least=LEAST_CHARS) -> DataFrame:
+def line_dedup(docs: DataFrame, key="doc_id", text="text", errors=ERRORS, least=0) -> DataFrame:
     """(key, n_lines, n_kept, kept) of every row: ``kept`` has the places of the lines that stay.
 
     Of each class of lines linked by at most ``errors`` edits, the first by key and place stays. Blank
@@ -187,7 +285,7 @@ lines AS (SELECT line, min({'d': doc_id, 'p': pos}) AS first FROM occurrences GR
 long_lines AS (SELECT line, length(line) AS n,
                       unnest([left(line, length(line) // 2), left(line, (length(line) - 1) // 2),
                               right(line, length(line) // 2), right(line, (length(line) - 1) // 2)]) AS half
-               FROM lines WHERE length(line) >= 24),
+               FROM lines WHERE length(line) >= 2),
 links AS (SELECT DISTINCT a.line AS a, b.line AS b FROM long_lines a JOIN long_lines b USING (half)
           WHERE a.line <> b.line AND abs(a.n - b.n) <= 1 AND levenshtein(a.line, b.line) <= 1),
 reach(line, other) AS (SELECT a, b FROM links UNION SELECT r.line, l.b FROM reach r JOIN links l ON l.a = r.other),

@@ -218,16 +218,66 @@ def edited(rng, text, n):
     return text
 
 
-@pytest.mark.parametrize("errors", [1, 2, 3])
-def test_edit_join(spark, errors):
+def classes_of(links, names):
+    place = {n: n for n in names}
+
+    def top(x):
+        while place[x] != x:
+            x = place[x]
+        return x
+
+    for a, b in links:
+        p, q = sorted((top(a), top(b)))
+        place[q] = p
+    return {n: top(n) for n in names}
+
+
+@pytest.mark.parametrize("errors,few", [(1, 16), (1, 1), (1, 3), (2, 16), (3, 16)])
+def test_edit_join(spark, monkeypatch, errors, few):
+    monkeypatch.setattr(linejoin, "FEW", few)
     rng = random.Random(errors)
-    bases = ["".join(rng.choice("ab cdé") for _ in range(n)).strip() or "x" for n in (24, 25, 31, 40)]
-    lines = sorted({" ".join(edited(rng, b, rng.randint(0, errors + 1)).split()) for b in bases for _ in range(12)})
+    bases = ["".join(rng.choice("ab cdé") for _ in range(n)).strip() or "x" for n in (8, 24, 25, 31, 40)]
+    lines = {" ".join(edited(rng, b, rng.randint(0, errors + 1)).split()) for b in bases for _ in range(12)}
+    if errors == 1:
+        lines |= {"a", "b", "ab", "ba", "abc", "ac", "\U0001f600\U0001f601x", "\U0001f600\U0001f602x", "\U0001f600x"}
+        lines |= {f"one common beginning of all {k:03d}" for k in range(0, 200, 7)}
+    lines = sorted(lines)
     frame = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "doc_id long, text string")
-    found, links = linejoin.similar_lines(frame, errors=errors, least=8)
+    found, links = linejoin.similar_lines(frame, errors=errors)
     names = {r.line: r["first"]["key"] for r in found.collect()}
     got = {tuple(sorted((names[r.a], names[r.b]))) for r in links.collect()}
-    assert got == {(i, j) for i in range(len(lines)) for j in range(i + 1, len(lines)) if edit_distance(lines[i], lines[j]) <= errors}
+    want = {(i, j) for i, x in enumerate(lines) for j, y in enumerate(lines) if i < j and min(len(x), len(y)) > errors and edit_distance(x, y) <= errors}
+    assert got <= want
+    assert classes_of(got, range(len(lines))) == classes_of(want, range(len(lines)))
+
+
+def test_lines_of_one_beginning_are_not_paired(spark, monkeypatch):
+    """A bounded number of candidates a line, whether or not the lines of an entry are similar."""
+    made = []
+    verify = linejoin.verified_windows
+
+    def counted(pairs, lines):
+        made.append(pairs.count())
+        return verify(pairs, lines)
+
+    monkeypatch.setattr(linejoin, "verified_windows", counted)
+    rng = random.Random(4)
+    common = "the same long beginning of each of these lines, then "
+    far = [common + "".join(rng.choice("abcdefgh") for _ in range(50)) for _ in range(1500)]
+    near = [f"entry {k:05d} of the list" for k in range(1500)]
+    texts = [(i, x) for i, x in enumerate(far + near)]
+    found, links = linejoin.similar_lines(spark.createDataFrame(texts, "doc_id long, text string"))
+    names = {r.line: r["first"]["key"] for r in found.collect()}
+    classes = classes_of([(names[r.a], names[r.b]) for r in links.collect()], range(len(texts)))
+    assert len(set(classes.values())) == len(far) + 1
+    assert sum(made) < 40 * len(texts)
+
+
+def test_very_long_lines(spark):
+    line = "".join(random.Random(1).choice("abc de") for _ in range(60_000)).strip()
+    rows = [(1, line), (2, line[:30_000] + "#" + line[30_000:]), (3, line[:100] + line[102:]), (4, line[:-1] + "#")]
+    found = linejoin.line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.n_kept for r in found} == {1: 1, 2: 0, 3: 1, 4: 0}
 
 
 def test_line_dedup(spark, no_docs):
