@@ -194,7 +194,7 @@ def across(askers: DataFrame, members: DataFrame, weight, content: DataFrame, wo
         deal(members, False, "j", "down", "i", "across")
     )
     return (
-        both.join(content, "row")
+        both.join(content.hint("merge"), "row")  # at every size alike: content is what is large
         .repartition(*KEYS)
         .sortWithinPartitions(*KEYS)
         .mapInArrow(work, schema)
