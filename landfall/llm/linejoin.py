@@ -276,6 +276,7 @@ def op6_line_dedup(spark, sf_dir):
     return line_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
 
 
+# near: one character of b left out, and one of a where both are as long; levenshtein() would count bytes
 OP6_SQL = r"""
 WITH RECURSIVE s AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
 o AS (SELECT doc_id, i - 1 AS pos, trim(regexp_replace(ls[i], '[\x20\x09-\x0D]+', ' ', 'g')) AS line
@@ -286,8 +287,12 @@ long_lines AS (SELECT line, length(line) AS n,
                       unnest([left(line, length(line) // 2), left(line, (length(line) - 1) // 2),
                               right(line, length(line) // 2), right(line, (length(line) - 1) // 2)]) AS half
                FROM lines WHERE length(line) >= 2),
-links AS (SELECT DISTINCT a.line AS a, b.line AS b FROM long_lines a JOIN long_lines b USING (half)
-          WHERE a.line <> b.line AND abs(a.n - b.n) <= 1 AND levenshtein(a.line, b.line) <= 1),
+pairs AS (SELECT DISTINCT a.line AS a, b.line AS b, b.n AS n, b.n - a.n AS more
+          FROM long_lines a JOIN long_lines b USING (half)
+          WHERE b.n - a.n = 1 OR b.n = a.n AND a.line < b.line),
+near AS (SELECT a, b FROM pairs WHERE len([i for i in range(1, n + 1) if left(a, i - 1) = left(b, i - 1)
+           AND substr(a, i + 1 - more) = substr(b, i + 1)]) > 0),
+links AS (SELECT a, b FROM near UNION ALL SELECT b, a FROM near),
 reach(line, other) AS (SELECT a, b FROM links UNION SELECT r.line, l.b FROM reach r JOIN links l ON l.a = r.other),
 classes AS (SELECT line, min(least(line, other)) AS class FROM reach GROUP BY 1),
 firsts AS (SELECT coalesce(class, lines.line) AS class, min(first) AS first

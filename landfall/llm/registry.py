@@ -25,6 +25,7 @@ QUERIES = {
     "op3_best_fit_packing": packing.op3_best_fit_packing,
     "op4_exact_dedup": exact.op4_exact_dedup,
     "op5_quotation_linking": quotes.op5_quotation_linking,
+    "quotation_chains": quotes.quotation_chains,
     "op6_line_dedup": linejoin.op6_line_dedup,
     "op7_substring_dedup": chunks.op7_substring_dedup,
     "op8_language_id": langid.op8_language_id,
@@ -38,6 +39,8 @@ QUERIES = {
 ORACLES = {
     "op2_decontamination": leaks.OP2_SQL,
     "op4_exact_dedup": exact.OP4_SQL,
+    "op5_quotation_linking": quotes.OP5_SQL,
+    "quotation_chains": quotes.CHAINS_SQL,
     "op6_line_dedup": linejoin.OP6_SQL,
     "op10_ngram_jaccard_join": jaccard.OP10_SQL,
     "op11_minhash_dedup": minhash.OP11_SQL,

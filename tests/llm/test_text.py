@@ -1,6 +1,8 @@
 """Leaks, packing, chunks, lines and quotes against plain Python."""
 
 import bisect
+import collections
+import itertools
 import random
 import re
 import zlib
@@ -290,6 +292,61 @@ def test_line_dedup(spark, no_docs):
     assert linejoin.line_dedup(no_docs).count() == 0
 
 
+def plain_links(rows):
+    """(parent, n_linked) of each (conv, turn) by the first writer of each passage and line."""
+    def units(text):
+        lines = [re.match(r"((?:[ \t]*>)*)(?:(?<=>)[ \t])?(.*)", x, re.S).groups() for x in re.split("\r\n|\r|\n", text or "")]
+        lines = [(marks.count(">"), content) for marks, content in lines]
+        found = set(lines)
+        for level, run in itertools.groupby(lines, key=lambda x: x[0]):
+            found.add((level, "\n".join(content for _, content in run)))
+        plain = [(level, re.sub(r"[\x20\x09-\x0D]+", " ", content).strip(" ").lower()) for level, content in found]
+        return [u for u in plain if u[1]]
+
+    said, out = {}, {}
+    for conv, turn, _, text in rows:
+        for level, content in units(text):
+            if level == 0:
+                said[conv, content] = min(turn, said.get((conv, content), turn))
+    for conv, turn, _, text in rows:
+        weight, n = collections.Counter(), 0
+        for level, content in units(text):
+            source = said.get((conv, content), turn)
+            if level and source < turn:
+                n += 1
+                weight[source] += len(content) if level == 1 else 0
+        best = max(((c, s) for s, c in weight.items() if c), default=(0, None))
+        out[conv, turn] = (best[1], n)
+    return out
+
+
+def test_quotes_equal_plain_search(spark):
+    rng = random.Random(6)
+    words = ["Yes", "no", "maybe  so", "a longer word", "x", "", ">"]
+    rows = []
+    for conv in range(4):
+        texts = []
+        for turn in range(30):
+            lines = []
+            for _ in range(rng.randint(0, 3)):
+                if texts and rng.random() < 0.7:
+                    for line in rng.choice(texts).split("\n")[: rng.randint(1, 4)]:
+                        lines.append(rng.choice([">", "> ", ">> ", " > >"]) + line)
+                lines.append(" ".join(rng.choice([*words, f"word {rng.randrange(90)}"]) for _ in range(rng.randint(0, 4))))
+            texts.append("\n".join(lines))
+            rows.append((conv, turn, "u", texts[-1]))
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)
+    found = {(r.conv_id, r.turn): r for r in quotes.linked(frame).collect()}
+    want = plain_links(rows)
+    assert {k: (r.parent, r.n_linked) for k, r in found.items()} == want
+    assert sum(parent is not None for parent, _ in want.values()) > 20
+    for (conv, turn), r in found.items():
+        thread, depth = turn, 0
+        while want[conv, thread][0] is not None:
+            thread, depth = want[conv, thread][0], depth + 1
+        assert (r.thread, r.depth) == (thread, depth)
+
+
 def test_quotes(spark):
     rows = [
         (1, 0, "user", "Hello there, how is the weather?\nI wonder about it."),
