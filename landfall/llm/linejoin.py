@@ -132,8 +132,8 @@ def entries_of_one(lines: DataFrame) -> DataFrame:
     return lines.where(n > 1).select("line", F.explode(found).alias("e")).select("line", "e.*")
 
 
-def entries_within(rows: DataFrame, lines: DataFrame) -> DataFrame:
-    """The same for the two segments of each row's window."""
+def entries_within(rows: DataFrame) -> DataFrame:
+    """The same for the two segments of each row's window; rows keep their text."""
     half = F.floor(F.col("base") / 2).cast("int")
     more = F.col("width") - F.col("base")
     first = F.struct(
@@ -144,8 +144,7 @@ def entries_within(rows: DataFrame, lines: DataFrame) -> DataFrame:
     second = F.struct(
         F.xxhash64("entry", F.lit(1), kept).alias("entry"), F.col("start"), (half + more).alias("width"), half.alias("base")
     )
-    texts = lines.select("line", "text")
-    return rows.join(texts, "line").select("line", F.explode(F.array(first, second)).alias("e")).select("line", "e.*")
+    return rows.select("line", "text", F.explode(F.array(first, second)).alias("e")).select("line", "text", "e.*")
 
 
 def with_texts(pairs: DataFrame, lines: DataFrame) -> DataFrame:
@@ -154,7 +153,7 @@ def with_texts(pairs: DataFrame, lines: DataFrame) -> DataFrame:
     return pairs
 
 
-def verified_windows(pairs: DataFrame, lines: DataFrame) -> DataFrame:
+def verified_windows(pairs: DataFrame) -> DataFrame:
     """Links (a, b) of those pairs that agree outside their windows and are one edit apart within."""
     def window(side):
         return characters(F.substring(f"{side}_text", F.col("start") + 1, F.col(f"{side}_width")))
@@ -163,7 +162,7 @@ def verified_windows(pairs: DataFrame, lines: DataFrame) -> DataFrame:
         text, end = F.col(f"{side}_text"), F.col("start") + F.col(f"{side}_width")
         return F.struct(F.substring(text, F.lit(1), F.col("start")), F.substring(text, end + 1, F.length(text)))
 
-    return compared(with_texts(pairs, lines).where(outside("a") == outside("b")), window("a"), window("b"), 1)
+    return compared(pairs.where(outside("a") == outside("b")), window("a"), window("b"), 1)
 
 
 def compared(pairs: DataFrame, chars_a, chars_b, errors: int) -> DataFrame:
@@ -172,6 +171,36 @@ def compared(pairs: DataFrame, chars_a, chars_b, errors: int) -> DataFrame:
     return stored.where(within_distance(F.col("a_chars"), F.col("b_chars"), errors)).select("a", "b")
 
 
+PAIR = ["start", "a", "a_text", "a_width", "b", "b_text", "b_width"]
+
+
+def side(rows: DataFrame, name: str, *more: str) -> DataFrame:
+    named = [F.col("line").alias(name), F.col("text").alias(f"{name}_text"), F.col("width").alias(f"{name}_width")]
+    return rows.select("entry", *named, *more)
+
+
+def pairs_of_few(rows: DataFrame) -> DataFrame:
+    """All pairs of lines that share an entry, the shorter line as a."""
+    once = (F.col("b_width") > F.col("a_width")) | (F.col("a") < F.col("b"))
+    shorter = side(rows.where("width = base"), "a", "start")
+    return shorter.join(side(rows, "b"), "entry").where(once).select(*PAIR)
+
+
+def pairs_of_single_characters(rows: DataFrame) -> DataFrame:
+    """Lines that share all but a window of one character, or two in the longer of them, each with the first such line."""
+    rows = rows.withColumn("sign", F.explode(characters(F.substring("text", F.col("start") + 1, F.col("width")))))
+    short, least = rows.where("width = 1"), F.min(F.struct("line", "text", "width")).alias("least")
+
+    def of_least(groups):
+        return groups.select("entry", *[F.col(f"least.{n}").alias(f"{n}") for n in ("line", "text", "width")], *groups.columns[1:-1])
+
+    first = side(of_least(short.groupBy("entry").agg(least)), "a")
+    by_sign = side(of_least(short.groupBy("entry", "sign").agg(least)), "a", "sign")
+    as_long = first.join(side(short, "b", "start"), "entry")
+    longer = by_sign.join(side(rows.where("width = 2"), "b", "start", "sign"), ["entry", "sign"])
+    return as_long.select(*PAIR).unionByName(longer.select(*PAIR)).where("a <> b")
+
+
 def links_of_one(lines: DataFrame) -> DataFrame:
     """Links that connect the lines (line, text) with those one edit away; a forest suffices where many agree."""
     level, links = entries_of_one(lines), []
@@ -179,32 +208,17 @@ def links_of_one(lines: DataFrame) -> DataFrame:
         shorter = F.col("width") == F.col("base")
         shared = level.groupBy("entry").agg(F.count_if(shorter).alias("short"), F.count(F.lit(1)).alias("size"))
         shared = saved(shared.where("short > 0 AND size > 1").select("entry", "size"), "shared-entries")
-        rows = saved(level.join(shared, "entry"), "entry-rows")
-        few = rows.where(F.col("size") <= FEW)
-        a = few.where(shorter).select("entry", "start", F.col("line").alias("a"), F.col("width").alias("a_width"))
-        b = few.select("entry", F.col("line").alias("b"), F.col("width").alias("b_width"))
-        once = (F.col("b_width") > F.col("a_width")) | (F.col("a") < F.col("b"))
-        links.append(saved(verified_windows(a.join(b, "entry").where(once), lines), "line-links"))
-        many = rows.where(F.col("size") > FEW).drop("size")
+        rows = level.join(shared, "entry")
+        if not links:  # only lines that share an entry take their text along
+            rows = rows.join(lines, "line")
+        rows = saved(rows, "entry-rows")
+        few, many = rows.where(F.col("size") <= FEW), rows.where(F.col("size") > FEW)
+        pairs = pairs_of_few(few).unionByName(pairs_of_single_characters(many.where("base = 1")))
+        links.append(saved(verified_windows(pairs), "line-links"))
+        many = many.where("base > 1")
         if many.isEmpty():
             return reduce(DataFrame.unionByName, links)
-        links.append(saved(single_characters(many.where("base = 1"), lines), "line-links"))
-        level = saved(entries_within(many.where("base > 1"), lines), "entries")
-
-
-def single_characters(rows: DataFrame, lines: DataFrame) -> DataFrame:
-    """Links of lines that share all but a window of one character, or two in the longer of them."""
-    texts = rows.join(lines.select("line", "text"), "line").withColumn(
-        "window", characters(F.substring("text", F.col("start") + 1, F.col("width")))
-    )
-    short = texts.where("width = 1").select("entry", "start", "line", F.col("window")[0].alias("sign"))
-    first = short.groupBy("entry").agg(F.min("line").alias("a"))
-    by_sign = short.groupBy("entry", "sign").agg(F.min("line").alias("a"))
-    pairs = short.join(first, "entry").select("a", F.col("line").alias("b"), "start", F.lit(1).alias("b_width"))
-    longer = texts.where("width = 2").select("entry", "start", F.col("line").alias("b"), F.explode("window").alias("sign"))
-    longer = longer.join(by_sign, ["entry", "sign"]).select("a", "b", "start", F.lit(2).alias("b_width"))
-    both = pairs.unionByName(longer).where("a <> b").withColumn("a_width", F.lit(1))
-    return verified_windows(both, lines)
+        level = saved(entries_within(many), "entries")
 
 
 def links_of_pairs(lines: DataFrame, errors: int) -> DataFrame:
