@@ -53,14 +53,14 @@ def read_admissions(spark: SparkSession, path, fmt="parquet", year=None, check=T
     )
 
 
-def read_admissions_by_file(spark: SparkSession, paths, fmt="parquet") -> DataFrame:
+def read_admissions_by_file(spark: SparkSession, paths, fmt="parquet", check=True) -> DataFrame:
     """The same for the given files, with the columns ``file`` and ``modified``."""
     keys = {
         field.name: next((p for p in paths if f"/{field.name}=" not in p.lower()), None)
         for field in schemas.I94.fields
         if any(f"/{field.name}=" in p.lower() for p in paths)
     }
-    return _extracts(spark, paths, fmt, keys)
+    return _extracts(spark, paths, fmt, keys, check=check)
 
 
 def _folder_keys(spark, path):

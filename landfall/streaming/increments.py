@@ -12,8 +12,6 @@ counts, or not at all. Once it has many folders they are merged, and what no lon
 
 from __future__ import annotations
 
-from itertools import islice
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,7 +26,7 @@ COUNTS_SCHEMA = (
     "arrivals bigint, _data string"
 )
 # Files whose paths the driver holds and one job reads.
-FILES_AT_ONCE = 10_000
+FILES_AT_ONCE = 50_000
 # Folders from which they are merged.
 FOLDERS = 16
 
@@ -38,13 +36,15 @@ def add_increment(spark: SparkSession, landing: str, counts_path: str, fmt="parq
 
     Counts of a file that was taken away from ``landing`` stay.
     """
-    known = _last_deliveries(spark, counts_path, versions.latest(spark, counts_path))
-    present = admission_files(spark, landing)
     delivered = ["file", "size", "modified"]
-    new = present.join(known.select(*delivered), delivered, "left_anti")
-    rest = iter(new.select("path", *delivered).toLocalIterator())
-    while block := [tuple(row) for row in islice(rest, FILES_AT_ONCE)]:
-        _count_block(spark, counts_path, block, fmt)
+    while True:
+        known = _last_deliveries(spark, counts_path, versions.latest(spark, counts_path))
+        new = admission_files(spark, landing).join(known, delivered, "left_anti").select("path", *delivered)
+        block = [tuple(row) for row in new.limit(FILES_AT_ONCE).collect()]
+        if block:
+            _count_block(spark, counts_path, block, fmt)
+        if len(block) < FILES_AT_ONCE:
+            break
     found = versions.latest(spark, counts_path)
     if found is not None and len(found.entries) > FOLDERS:
         compact(spark, counts_path)
@@ -54,7 +54,8 @@ def _count_block(spark, counts_path, block, fmt):
     name = versions.fresh_name()
     ledger = spark.createDataFrame(block, "path string, file string, size bigint, modified timestamp")
     ledger.drop("path").coalesce(1).write.parquet(f"{counts_path}/ledger/{name}")
-    rows = read_admissions_by_file(spark, [path for path, *_ in block], fmt)
+    # a file without a key column stops the count that meets it
+    rows = read_admissions_by_file(spark, [path for path, *_ in block], fmt, check=False)
     counted = facts.count_codes(
         facts.addressed(rows), False, F.col("i94port").alias("port_code"), "file", "modified"
     )

@@ -107,6 +107,23 @@ def test_one_year_reads_row_groups_by_their_bounds(spark, golden, tmp_path):
     assert "EqualTo(i94yr,2016.0)" in plan
 
 
+def test_an_increment_names_a_file_without_a_key_column(spark, golden, tmp_path, monkeypatch):
+    landing, counts = tmp_path / "in", str(tmp_path / "counts")
+    golden.admissions.coalesce(1).write.parquet(str(landing / "good"))
+    golden.admissions.drop("i94res").coalesce(1).write.parquet(str(landing / "bad"))
+    with pytest.raises(Exception, match="/bad/.* lacks the columns i94res"):
+        add_increment(spark, str(landing), counts)
+    assert versions.latest(spark, counts) is None  # nothing is recorded
+    os.rename(landing / "bad", tmp_path / "aside")
+    golden.admissions.coalesce(1).write.parquet(str(landing / "more"))
+    monkeypatch.setattr(increments, "FILES_AT_ONCE", 1)  # a block for each file
+    add_increment(spark, str(landing), counts)
+    place = (golden.states, golden.cities)
+    full = facts.counts_by_code(readers.read_admissions(spark, str(landing)), *place)
+    assert rows_of(saved_counts(spark, counts, *place)) == rows_of(full)
+    assert len(versions.latest(spark, counts).entries) == 2
+
+
 def test_an_older_state_that_comes_back_holds(spark, golden, landing):  # noqa: F811
     folder, run = landing
     folder.mkdir()
