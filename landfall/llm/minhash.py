@@ -318,7 +318,7 @@ def minhash_links(docs: DataFrame, words: int, percent: int):
     met = saved(
         posted.join(shared.hint("merge"), "bucket").select("leader", "row", "n").distinct(), "meetings"
     )
-    sets = full_sets(docs, words, met.select("row").distinct())
+    sets = full_sets(docs, words, saved(met.select("row").distinct(), "met-rows"))
     if not index.groupBy("row").count().where("count > 1").isEmpty():
         sets = sets.dropDuplicates(["row", "n", "one"])  # one of repeated rows
     content = saved(
