@@ -215,9 +215,7 @@ def hard_negatives(
         F.sort_array(F.collect_set("score"), False).alias("positives")
     )
     asked = saved(anchors.join(wanted, "id"), "anchors")
-    whole = asked.agg(F.count(F.lit(1)).alias("n_anchors")).crossJoin(  # one row each
-        packed.agg(F.count(F.lit(1)).alias("n_rows"))
-    ).select(F.lit(0).alias("part"), "n_anchors", "n_rows")
+    whole = spark.createDataFrame([(0, asked.count(), packed.count())], "part int, n_anchors long, n_rows long")
 
     def in_range(group, others, found):
         names, ids = group.column("id"), others.column("id")
