@@ -7,8 +7,9 @@ the prefix reaches frequent tokens, these fall into groups by hash; the prefix g
 (rare) + sum over groups of (tokens - 1) exceeds T(n), and pairs of tokens within a group are
 indexed: T(n) misses cannot break every one of them, so partners share an entry.
 
-Texts that share an entry meet at its smallest key, the leader, once per leader. There their
-prefixes are compared, exactly bounding what a pair can share. Who still has a possible partner
+Texts that share an entry meet at its smallest key, the leader, once per leader. There pairs are
+screened by profiles: how many shingles of a set fall into each range of hashes. Where two profiles differ,
+so do the sets, so a pair is left out only if it cannot be similar. Who still has a possible partner
 is compared exactly, by the difference of its set to that of a centre, the smallest
 key of its component of possible pairs: for two sets x, y and a centre c, x ^ y equals
 (x ^ c) ^ (y ^ c), and among near copies these differences are short. Large leader groups are cut into
@@ -35,6 +36,8 @@ BLOCK_TOKENS = 1 << 21
 #: Sizes from which a new class begins; entries of texts of unlike size do not meet.
 SIZES = sorted({max(k, int(1.5**k)) for k in range(1, 90)})
 DENSE = 2_000_000  # pairs of entries from which a group is multiplied as a matrix
+RANGE_SHINGLES = 8  # shingles to a range of a profile, about
+COMPARED = 1 << 22  # places of profiles compared at once
 TOP = np.uint64(1 << 63)
 
 
@@ -192,6 +195,53 @@ def overlaps(owner: np.ndarray, token: np.ndarray, rows: int):
     return pair // rows, pair % rows, shared
 
 
+def profile(tokens: np.ndarray) -> bytes:
+    """How many of a set's 63-bit hashes lie in each of 2**k equal ranges, 255 standing for more.
+
+    k grows with the set; half as many ranges are the sums of neighbours.
+    """
+    bits = max(4, (len(tokens) // RANGE_SHINGLES).bit_length())
+    counts = np.bincount((tokens >> np.uint64(63 - bits)).astype(np.int64), minlength=1 << bits)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
+def folded(profiles: list[bytes], width: int) -> np.ndarray:
+    """The profiles as rows of ``width`` ranges; none has fewer."""
+    out = np.empty((len(profiles), width), np.int16)
+    for k, one in enumerate(profiles):
+        counts = np.frombuffer(one, np.uint8)
+        if len(counts) > width:
+            counts = np.minimum(counts.reshape(width, -1).sum(1, dtype=np.int64), 255)
+        out[k] = counts
+    return out
+
+
+def profile_pairs(n: np.ndarray, profiles: list[bytes], percent: int):
+    """Places of the pairs that may be similar by size and profile."""
+    width = np.array([len(p) for p in profiles], np.int64)
+    found = [(width[:0], width[:0])]
+    for level in np.unique(width).tolist():
+        first = np.flatnonzero(width == level)
+        # a wider profile is that of a larger set
+        second = np.flatnonzero((width >= level) & (percent * n <= 100 * n[first].max()))
+        left, right = folded([profiles[k] for k in first], level), folded([profiles[k] for k in second], level)
+        step = max(1, COMPARED // (level * len(second)))
+        for at in range(0, len(first), step):
+            some = first[at : at + step]
+            apart = np.empty((len(some), len(second)), np.int64)
+            wide = max(1, COMPARED // (level * len(some)))
+            for to in range(0, len(second), wide):
+                differ = np.abs(left[at : at + step, None, :] - right[None, to : to + wide, :])
+                apart[:, to : to + wide] = differ.sum(2, dtype=np.int64)
+            total = np.add.outer(n[some], n[second])
+            small, large = np.minimum.outer(n[some], n[second]), np.maximum.outer(n[some], n[second])
+            near = (100 * small >= percent * large) & ((100 + percent) * apart <= (100 - percent) * total)
+            near &= (width[second] > level) | (some[:, None] < second)
+            a, b = np.nonzero(near)
+            found.append((some[a], second[b]))
+    return tuple(np.concatenate(side) for side in zip(*found))
+
+
 def batches_by_group(batches, columns):
     """Tables of whole groups: rows come sorted by the given columns."""
     held = None
@@ -278,10 +328,10 @@ def forest(a, b):
     return kept
 
 
-def meet(members: DataFrame, content: DataFrame, column: str, work, schema: str) -> DataFrame:
+def meet(members: DataFrame, content: DataFrame, work, schema: str) -> DataFrame:
     """Run ``work`` over the pairs of blocks of each leader's group.
 
-    ``members`` has (leader, row), ``content`` (row, n, weight, column). A group is cut by hash into
+    ``members`` has (leader, row), ``content`` (row, n, weight, ...). A group is cut by hash into
     as many blocks as its tokens and rows need; each member goes to every pair that its block is in.
     """
     weighed = members.join(content.select("row", "weight").hint("merge"), "row")
@@ -318,28 +368,30 @@ def similar_links(docs: DataFrame, words: int, percent: int, frequent=FREQUENT):
 
     def index(batches):
         for batch in batches:
-            n, one, two, prefixes, found, levels = [], [], [], [], [], []
+            n, one, two, profiles, prefixes, found, levels = [], [], [], [], [], [], []
             for tokens in distinct_sets(batch.column(1), words):
                 n.append(len(tokens))
                 with np.errstate(over="ignore"):
                     one.append(int(mix(tokens).sum(dtype=np.uint64).view(np.int64)))
                     two.append(int(mix(tokens ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).view(np.int64)))
                 prefix, entry = entries(marks.value.mark(tokens), percent)
-                prefixes.append(prefix.view(np.int64))
+                profiles.append(profile(tokens))
+                prefixes.append(prefix[prefix < TOP].view(np.int64))
                 found.append(entry.view(np.int64))
                 levels.append(sizes_of(len(tokens), percent))
             longs = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()),
-                 pa.array(levels, pa.list_(pa.int32())), pa.array(prefixes, longs), pa.array(found, longs)],
-                names=["row", "n", "one", "two", "levels", "prefix", "entries"],
+                 pa.array(profiles, pa.binary()), pa.array(levels, pa.list_(pa.int32())), pa.array(prefixes, longs),
+                 pa.array(found, longs)],
+                names=["row", "n", "one", "two", "profile", "levels", "rare", "entries"],
             )
 
     kind = docs.schema["key"].dataType.simpleString()
     rows = saved(
         docs.select("key", "text").mapInArrow(
             index,
-            f"row {kind}, n long, one long, two long, levels array<int>, prefix array<long>, "
+            f"row {kind}, n long, one long, two long, profile binary, levels array<int>, rare array<long>, "
             "entries array<long>",
         ),
         "shingle-index",
@@ -355,11 +407,10 @@ def similar_links(docs: DataFrame, words: int, percent: int, frequent=FREQUENT):
     reps = saved(
         rows.where("n > 1")
         .join(classes.select(F.col("rep").alias("row")).hint("merge"), "row", "left_semi")
-        .select("row", "n", F.size("prefix").cast("long").alias("weight"), "levels", "prefix", "entries"),
+        .select("row", "n", F.octet_length("profile").cast("long").alias("weight"), "profile", "levels", "rare", "entries"),
         "representatives",
     )
-    rare = F.filter("prefix", lambda token: token >= 0)  # the top bit is the sign
-    singles = reps.select("row", "levels", F.explode(rare).alias("token"))
+    singles = reps.select("row", "levels", F.explode("rare").alias("token"))
     singles = singles.select("row", "token", F.explode("levels").alias("level"))
     pairs = reps.select("row", F.explode("entries").alias("entry"))
     posted = singles.select("row", F.xxhash64("token", "level").alias("entry")).unionByName(pairs)
@@ -375,24 +426,17 @@ def similar_links(docs: DataFrame, words: int, percent: int, frequent=FREQUENT):
     )
 
     def possible(batches):
-        """Links of rows that may be similar by size and prefix."""
+        """Links of rows that may be similar by size and profile."""
         for table, starts in batches_by_group(batches, ["leader", "i", "j"]):
             n = table.column("n").to_numpy()
-            values, sizes = lists_of(table.column("prefix"))
-            begins = np.cumsum(sizes) - sizes
-            last = values[begins + sizes - 1]
-            for a, b, both in grouped_overlaps(table, starts, "prefix"):
-                fits = 100 * np.minimum(n[a], n[b]) >= percent * np.maximum(n[a], n[b])
-                a, b, both = a[fits], b[fits], both[fits]
-                bound = np.minimum(last[a], last[b])
-                apart = -2 * both
-                for side in (a, b):
-                    apart = apart + counts_up_to(values, begins, sizes, side, bound)
-                near = (100 + percent) * apart <= (100 - percent) * (n[a] + n[b])
-                yield from named_links(table, forest(a[near], b[near]), True)
+            profiles = table.column("profile").to_pylist()
+            for low, high in zip(starts[:-1].tolist(), starts[1:].tolist()):
+                if high - low > 1:
+                    a, b = profile_pairs(n[low:high], profiles[low:high], percent)
+                    yield from named_links(table, forest(a + low, b + low), True)
 
     maybe = saved(
-        meet(met, reps.drop("entries", "levels"), "prefix", possible, f"leader {kind}, a {kind}, b {kind}").distinct(),
+        meet(met, reps.select("row", "n", "weight", "profile"), possible, f"leader {kind}, a {kind}, b {kind}").distinct(),
         "possible-links",
     )
     alive = maybe.select("leader", F.explode(F.array("a", "b")).alias("row")).distinct()
@@ -408,7 +452,7 @@ def similar_links(docs: DataFrame, words: int, percent: int, frequent=FREQUENT):
 
     content = saved(
         docs.select("key", "text")
-        .join(centres.hint("merge"), "key")
+        .join(centres, "key")  # saved, so its size is known: texts are not shuffled for few keys
         .select("key", "text", "component")
         .mapInArrow(sets, f"row {kind}, centre {kind}, tokens array<long>"),
         "shingle-sets",
@@ -452,7 +496,7 @@ def similar_links(docs: DataFrame, words: int, percent: int, frequent=FREQUENT):
                 near = (centre[a] == centre[b]) & (100 * shared >= percent * (n[a] + n[b] - shared))
                 yield from named_links(table, forest(a[near], b[near]))
 
-    links = meet(alive, apart, "apart", linked, f"a {kind}, b {kind}").where("a <> b").distinct()
+    links = meet(alive, apart, linked, f"a {kind}, b {kind}").where("a <> b").distinct()
     return saved(links, "set-links"), members
 
 
@@ -480,19 +524,6 @@ def named_links(table, links, with_leader=False):
     yield from pa.table(columns).to_batches()
 
 
-def counts_up_to(values, begins, sizes, rows, bounds):
-    """How many of each row's sorted values are at most the bound."""
-    low, high = begins[rows].copy(), (begins + sizes)[rows]
-    while True:
-        open_rows = low < high
-        if not open_rows.any():
-            return low - begins[rows]
-        middle = (low + high) // 2
-        small = open_rows & (values[np.minimum(middle, len(values) - 1)] <= bounds)
-        low = np.where(small, middle + 1, low)
-        high = np.where(open_rows & ~small, middle, high)
-
-
 def near_components(docs: DataFrame, words=5, percent=80, key="doc_id", text="text", frequent=FREQUENT) -> DataFrame:
     """(key, n_shingles, component) of every row: components of links at ``percent`` Jaccard or more.
 
