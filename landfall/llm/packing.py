@@ -10,7 +10,6 @@ from a prefix sum over (length, salt) counts, so equal lengths spread over all t
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections import defaultdict
 
@@ -20,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from landfall.llm.common import saved, ship
+from landfall.llm.common import blocks, saved, ship
 
 SIZE = 4096
 END_ID = 1
@@ -47,60 +46,67 @@ class WordTokenizer:
         self.known = {"": b""}
 
     def encode(self, text):
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0]
+        return np.array(found.ids, "<u4").tobytes()
 
     def learn(self, words):
         """Encode words: runs of letters all at once, as each gives one end-of-word token; others singly."""
-        if len(self.known) + len(words) > CACHE:
-            self.known = {"": b""}
         # dotted capital I is two characters in lower case, of which the second is no letter
         letters = [w for w in words if w.isalpha() and max(w) < "ɐ" and "İ" not in w]
         if letters:
-            ids = np.array(self.tokenizer.encode(" ".join(letters), add_special_tokens=False).ids, "<u4")
-            cuts = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            raw = self.encode(" ".join(letters))
+            cuts = (4 * (np.flatnonzero(self.ends[np.frombuffer(raw, "<u4")]) + 1)).tolist()
             if len(cuts) == len(letters):
-                raw = ids.tobytes()
                 self.known.update(zip(letters, [raw[i:j] for i, j in zip([0, *cuts], cuts)]))
             else:  # a tokenizer that ends words otherwise
                 letters = []
         for word in words.difference(letters):
             self.known[word] = self.encode(word)
 
+    def ids_of_words(self, words):
+        """Ids of distinct words."""
+        missing = set(words).difference(self.known)
+        if len(self.known) + len(missing) > CACHE:
+            self.known = {"": b""}
+            missing = set(words) - {""}
+        if missing:
+            self.learn(missing)
+        return list(map(self.known.get, words))
+
     def ids(self, texts):
         """Little-endian unsigned 32-bit ids of each text, as bytes."""
-        split = [separated(text) for text in texts]
-        found = [list(map(self.known.get, words)) for words in split]
-        open_texts = [i for i, ids in enumerate(found) if None in ids]
-        if open_texts:
-            missing = {w for i in open_texts for w, ids in zip(split[i], found[i]) if ids is None}
-            self.learn(missing)
-            for i in open_texts:
-                found[i] = list(map(self.known.get, split[i]))
-                if None in found[i]:  # the memory was emptied meanwhile
-                    self.learn({w for w, ids in zip(split[i], found[i]) if ids is None})
-                    found[i] = [self.known.get(w) or self.encode(w) for w in split[i]]
-        return list(map(b"".join, found))
+        if not isinstance(texts, pa.Array):
+            texts = pa.array(texts, pa.large_string())
+        words, bounds = separated(texts.cast(pa.large_string()))
+        coded = words.dictionary_encode()
+        found = self.ids_of_words(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        # the bytes of a column of binaries are those of its rows one after the other
+        taken = pa.array(found, pa.large_binary()).take(coded.indices)
+        cuts = running(pc.binary_length(taken))[bounds].tolist()
+        raw = taken.buffers()[2]
+        return [raw.slice(i, j - i).to_pybytes() if i < j else b"" for i, j in zip(cuts, cuts[1:])]
+
+
+def running(lengths):
+    """Where each of so long items begins, and the end of the last."""
+    return np.concatenate([[0], np.cumsum(lengths.to_numpy(zero_copy_only=False), dtype=np.int64)])
 
 
-def separated(text):
-    """Words between ASCII white space; in Latin-1 texts in lower case, and signs after a last letter apart.
+def separated(texts):
+    """Words between ASCII white space of all texts, and each text's first; signs after a letter are words apart.
 
     The tokenizer itself lowers letters and never joins a letter and a sign in one token. It finds its
-    special tokens before that, so a text that may hold one is left as it is.
+    special tokens before that, so a word that may hold one keeps its capitals; so does one beyond ASCII,
+    where capitals may join with marks.
     """
-    for space in "\t\n\x0b\x0c\r":
-        if space in text:
-            text = text.replace(space, " ")
-    if "<|" in text:
-        return text.split(" ")
-    try:
-        text.encode("latin-1")
-    except UnicodeEncodeError:
-        return text.split(" ")
-    return _LAST_SIGNS.sub(r" \1", text.lower()).split(" ")
+    split = pc.ascii_split_whitespace(pc.replace_substring_regex(texts, _LETTER_AND_SIGN, r"\1 \2"))
+    words = split.flatten()
+    plain = pc.and_not(pc.string_is_ascii(words), pc.match_substring(words, "<|"))
+    return pc.if_else(plain, pc.ascii_lower(words), words), running(pc.list_value_length(split))
 
 
-_LAST_SIGNS = re.compile("(?<=[a-zß-öø-ÿ])([.,;:!?]+)(?= |$)")
+# no apostrophe, with which endings begin, and no sign that special tokens have
+_LETTER_AND_SIGN = r"([A-Za-zÀ-ÖØ-öø-ÿ])([!-&(-/:;=-@\[-`{}~])"
 
 
 def _tokenizer(path):
@@ -125,10 +131,10 @@ def pieces(docs: DataFrame, path: str, size=SIZE, end_id=END_ID, key="doc_id", t
         tokenizer = _tokenizer(path)
         for batch in batches:
             keys = batch.column(0)
-            texts = pc.fill_null(batch.column(1), "")
-            for at in range(0, len(keys), 512):
+            texts = pc.fill_null(batch.column(1), "").cast(pa.large_string())
+            for at, to in blocks(running(pc.binary_length(texts))):
                 rows, piece, start, length, crc, ids = [], [], [], [], [], []
-                for i, raw in enumerate(tokenizer.ids(texts.slice(at, 512).to_pylist()), at):
+                for i, raw in enumerate(tokenizer.ids(texts.slice(at, to - at)), at):
                     raw += end
                     for k, begin in enumerate(range(0, len(raw), 4 * size)):
                         part = raw[begin : begin + 4 * size]

@@ -112,6 +112,39 @@ def test_ids_of_every_kind_of_character():
             assert np.frombuffer(ids, "<u4").tolist() == want.ids, repr(text)
 
 
+def test_each_word_is_looked_up_once():
+    """Repeated words, in capitals or with signs after them, cost no further look into the memory."""
+    from tokenizers import Tokenizer
+
+    looks = []
+
+    class Memory(dict):
+        def get(self, word, *default):
+            looks.append(word)
+            return super().get(word, *default)
+
+    path = packing.public_vocabulary()
+    words = [f"{a}{b}" for a in "bdfgk" for b in ("al", "el", "il", "ön", "un")]
+    texts = [" ".join(f"{w}{sign} {w.title()}{sign}" for w in words) for sign in ("", ".", "$$$", "###", "-", "'", ")")] * 9
+    mine = packing.WordTokenizer(path)
+    mine.known = Memory(mine.known)
+    whole = Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)
+    assert [np.frombuffer(x, "<u4").tolist() for x in mine.ids(texts)] == [e.ids for e in whole]
+    assert 0 < len(looks) < 150  # of 3,150 words
+
+
+def test_ids_when_the_memory_is_emptied(monkeypatch):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(packing, "CACHE", 6)
+    path = packing.public_vocabulary()
+    texts = ["", "one two Three, four", " one\ttwo\x0b", "five six seven.eight <|endoftext|> ÉA b|c d's"] * 2
+    whole = Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)
+    mine = packing.WordTokenizer(path)
+    assert [np.frombuffer(mine.ids([t])[0], "<u4").tolist() for t in texts] == [e.ids for e in whole]
+    assert mine.ids([]) == []
+
+
 @pytest.mark.parametrize("size", [1, 7, 64, 4096])
 def test_best_fit_is_best_fit_decreasing(size):
     rng = random.Random(size)
