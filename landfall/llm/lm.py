@@ -9,7 +9,6 @@ no task holds more than a shard, and the shards grow in number with the corpus.
 
 from __future__ import annotations
 
-import io
 import os
 import shutil
 import tempfile
@@ -18,14 +17,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from landfall.llm.common import SPACED_WORD, mix, saved, ship, word_hashes
+from landfall.llm.common import SPACED_WORD, blocks, mix, running, saved, ship, word_hashes
 from landfall.session import scratch_path
 
-SLAB = 2_000_000  # tokens counted at once
+SLAB = 1_000_000  # tokens counted at once
+SLICE = 2 << 20  # bytes of text looked up at once; a longer single text is its own slice
 SHARD_TOKENS = 4_000_000  # bigram tokens to a shard
 SHARD_WORDS = 1 << 21
 RANGE_BITS = 18  # word statistics are summed by ranges of so many numbers
@@ -43,11 +44,9 @@ def put_array(folder: str, name: str, values: np.ndarray) -> None:
     """Write an array under a name of its own, then rename: a repeated task does no harm."""
     system, path = _filesystem(folder)
     system.create_dir(path, recursive=True)
-    held = io.BytesIO()
-    np.save(held, values)
     part = f"{path}/.{name}-{uuid.uuid4().hex}"
     with system.open_output_stream(part) as out:
-        out.write(held.getbuffer())
+        np.save(out, values)
     try:
         system.move(part, f"{path}/{name}.npy")
     except OSError:
@@ -188,11 +187,44 @@ def modified_discounts(n1, n2, n3, n4):
     return (0.0, *(float(min(max(d, 0.0), k)) for k, d in enumerate(raw, 1)))
 
 
-def _summed(keys, counts):
+def slices(column: pa.Array):
+    """Ranges of texts of at most SLICE bytes, or one text."""
+    return blocks(running(pc.binary_length(column)), SLICE)
+
+
+def sum_bigrams(rows: list):
+    """Distinct keys and their counts from the (keys, counts) buffers of a shard; ``rows`` is emptied."""
+    keys = np.concatenate([np.frombuffer(keys, np.uint64) for keys, _ in rows])
+    counts = np.concatenate([np.frombuffer(counts, np.uint32) for _, counts in rows])
+    rows.clear()
     order = np.argsort(keys, kind="stable")
     keys, counts = keys[order], counts[order]
-    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, int)
-    return keys[first], np.add.reduceat(counts, first) if len(first) else counts[:0]
+    del order
+    new = np.ones(len(keys), bool)
+    new[1:] = keys[1:] != keys[:-1]
+    first = np.flatnonzero(new)
+    return keys[first], np.add.reduceat(counts, first, dtype=np.int64) if len(first) else np.zeros(0, np.int64)
+
+
+def word_statistics(keys: np.ndarray, counts: np.ndarray):
+    """Word numbers in order and, for each, rows of (contexts before, followers once, twice, more often).
+
+    A word comes up to twice, as a word and as a context. ``keys`` are distinct and in order.
+    """
+    word, contexts = np.unique(keys.astype(np.uint32), return_counts=True)  # the lower half
+    context = (keys >> np.uint64(32)).astype(np.uint32)
+    new = np.ones(len(keys), bool)
+    new[1:] = context[1:] != context[:-1]
+    first = np.flatnonzero(new)
+    names = np.concatenate([word, context[first]])
+    del context, new
+    table = np.zeros((len(names), 4), np.uint32)
+    table[: len(word), 0] = contexts
+    if len(first):
+        for k, kind in enumerate((counts == 1, counts == 2, counts > 2), 1):
+            table[len(word) :, k] = np.add.reduceat(kind, first, dtype=np.uint32)
+    order = np.argsort(names, kind="stable")
+    return names[order].astype(np.int64), table[order]
 
 
 def train(docs: DataFrame, text="text") -> Model:
@@ -209,12 +241,13 @@ def train(docs: DataFrame, text="text") -> Model:
     def slabs(batches, counted):
         held, size = [], 0
         for batch in batches:
-            for at in range(0, len(batch), 1024):
-                held.append(counted(batch.column(0).slice(at, 1024)))
+            for at, to in slices(batch.column(0)):
+                held.append(counted(batch.column(0).slice(at, to - at)))
                 size += len(held[-1])
                 if size >= SLAB:
-                    yield np.concatenate(held)
-                    held, size = [], 0
+                    slab, held, size = np.concatenate(held), [], 0
+                    yield slab
+                    del slab
         if held:
             yield np.concatenate(held)
 
@@ -225,6 +258,7 @@ def train(docs: DataFrame, text="text") -> Model:
 
         for slab in slabs(batches, tokens):
             names, n = np.unique(slab, return_counts=True)
+            del slab
             yield pa.RecordBatch.from_arrays([pa.array(names.view(np.int64)), pa.array(n)], names=["word", "n"])
 
     words = saved(
@@ -283,6 +317,7 @@ def train(docs: DataFrame, text="text") -> Model:
         for slab in slabs(batches, keys):
             names, first, n = np.unique(slab[:, 0], return_index=True, return_counts=True)
             shard = model.shard_of(names, slab[first, 1].astype(np.int64))
+            del slab, first
             order = np.argsort(shard, kind="stable")
             cuts = np.searchsorted(shard[order], np.arange(shards + 1))
             parts = [order[cuts[s] : cuts[s + 1]] for s in range(shards)]
@@ -297,29 +332,18 @@ def train(docs: DataFrame, text="text") -> Model:
 
     def write_bigrams(batches):
         for s, rows in whole_groups(batches):
-            keys, counts = _summed(
-                np.concatenate([np.frombuffer(r["keys"], np.uint64) for r in rows]),
-                np.concatenate([np.frombuffer(r["counts"], np.uint32) for r in rows]).astype(np.int64),
-            )
-            del rows
+            keys, counts = sum_bigrams(rows)
             put_array(folder, f"bigrams-{s}", keys)
             put_array(folder, f"bigram-counts-{s}", counts.astype(np.uint32))
-            # how often words follow a context once, twice, more often; in how many contexts a word occurs
-            word, contexts = np.unique(keys & np.uint64(0xFFFFFFFF), return_counts=True)
-            context, at = np.unique(keys >> np.uint64(32), return_inverse=True)
-            kinds = np.stack([np.bincount(at, counts == 1), np.bincount(at, counts == 2), np.bincount(at, counts > 2)], 1)
-            names = np.concatenate([word, context]).astype(np.int64)
-            table = np.zeros((len(names), 4), np.int64)
-            table[: len(word), 0] = contexts
-            table[len(word) :, 1:] = kinds
-            order = np.argsort(names, kind="stable")
-            names, table = names[order], table[order]
-            cuts = np.flatnonzero(np.diff(names >> RANGE_BITS, prepend=-1))
             found = np.bincount(np.minimum(counts, 5), minlength=6)
+            names, table = word_statistics(keys, counts)
+            del keys, counts
+            cuts = np.flatnonzero(np.diff(names >> RANGE_BITS, prepend=-1))
             for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(names)]):
-                part = np.concatenate([(names[a:b] & ((1 << RANGE_BITS) - 1))[:, None], table[a:b]], 1)
+                place = (names[a:b] & ((1 << RANGE_BITS) - 1)).astype(np.uint32)
+                part = np.concatenate([place[:, None], table[a:b]], 1)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([int(names[a] >> RANGE_BITS)]), pa.array([part.astype(np.uint32).tobytes()], pa.binary()),
+                    [pa.array([int(names[a] >> RANGE_BITS)]), pa.array([part.tobytes()], pa.binary()),
                      pa.array([[0] * 6 if a else found.tolist()], pa.list_(pa.int64()))],
                     names=["range", "part", "found"],
                 )
@@ -330,14 +354,22 @@ def train(docs: DataFrame, text="text") -> Model:
     sums = parts.agg(*(F.coalesce(F.sum(F.col("found")[k]), F.lit(0)).alias(f"n{k}") for k in range(6))).first()
 
     def write_statistics(batches):
-        for r, rows in whole_groups(batches):
-            table = np.zeros((1 << RANGE_BITS, 4), np.int64)
-            for row in rows:
-                part = np.frombuffer(row["part"], np.uint32).reshape(-1, 5)
-                np.add.at(table, part[:, 0], part[:, 1:])
-            put_array(folder, f"statistics-{r}", table.astype(np.uint32))
+        def put():
+            put_array(folder, f"statistics-{at}", table.astype(np.uint32))
             found = np.bincount(np.minimum(table[:, 0], 5), minlength=6)
-            yield pa.RecordBatch.from_arrays([pa.array([found.tolist()], pa.list_(pa.int64()))], names=["found"])
+            return pa.RecordBatch.from_arrays([pa.array([found.tolist()], pa.list_(pa.int64()))], names=["found"])
+
+        at = None
+        for batch in batches:
+            for r, part in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if r != at:
+                    if at is not None:
+                        yield put()
+                    at, table = r, np.zeros((1 << RANGE_BITS, 4), np.int64)
+                part = np.frombuffer(part.as_buffer(), np.uint32).reshape(-1, 5)
+                np.add.at(table, part[:, 0], part[:, 1:])
+        if at is not None:
+            yield put()
 
     ranges = parts.select("range", "part").repartition("range").sortWithinPartitions("range")
     found = ranges.mapInArrow(write_statistics, "found array<long>").agg(
@@ -353,16 +385,15 @@ def train(docs: DataFrame, text="text") -> Model:
 
 
 def whole_groups(batches):
-    """(value, rows) for the runs of equal values in the first column."""
+    """(value, buffers of the further columns by row) for the runs of equal values in the first column."""
     value, held = None, []
     for batch in batches:
-        for row in batch.to_pylist():
-            key = row[batch.schema.names[0]]
+        for key, *row in zip(batch.column(0).to_pylist(), *batch.columns[1:]):
             if held and key != value:
                 yield value, held
                 held = []
             value = key
-            held.append(row)
+            held.append([part.as_buffer() for part in row])
     if held:
         yield value, held
 
@@ -379,8 +410,8 @@ def score(docs: DataFrame, model: Model, key="doc_id", text="text") -> DataFrame
         model = held.value
         spread = np.log10(model.tokens + model.vocabulary.size + 1.0)
         for batch in batches:
-            for at in range(0, len(batch), 1024):
-                part = batch.slice(at, 1024)
+            for at, to in slices(batch.column(1)):
+                part = batch.slice(at, to - at)
                 number, count, context, context_count, n = model.tokenised(part.column(1))
                 first = np.cumsum(n) - n
                 base = np.log10(count + 1.0) - spread

@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from landfall.llm.common import blocks, saved, ship
+from landfall.llm.common import blocks, running, saved, ship
 
 SIZE = 4096
 END_ID = 1
@@ -87,11 +87,6 @@ class WordTokenizer:
         return [raw.slice(i, j - i).to_pybytes() if i < j else b"" for i, j in zip(cuts, cuts[1:])]
 
 
-def running(lengths):
-    """Where each of so long items begins, and the end of the last."""
-    return np.concatenate([[0], np.cumsum(lengths.to_numpy(zero_copy_only=False), dtype=np.int64)])
-
-
 def separated(texts):
     """Words between ASCII white space of all texts, and each text's first; signs after a letter are words apart.
 

@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -167,3 +168,31 @@ def test_registered():
     names = sorted(registry.QUERIES)
     assert [n for n in names if n.startswith("op")] == sorted(n for n in names if re.match(r"op\d+_", n)) and len(names) == 11
     assert set(registry.ORACLES) < set(names)
+
+
+def test_memory_of_bigram_counting():
+    """Counting a shard takes few times its bytes, and slices of long texts stay small."""
+    rng = np.random.default_rng(5)
+    keys = (rng.zipf(1.3, 400_000) % 9_000).astype(np.uint64) << np.uint64(32) | rng.integers(0, 3_000, 400_000).astype(np.uint64)
+    rows = []
+    for at in range(0, len(keys), 50_000):
+        names, n = np.unique(keys[at : at + 50_000], return_counts=True)
+        rows.append([pa.py_buffer(names.tobytes()), pa.py_buffer(n.astype(np.uint32).tobytes())])
+    given = sum(a.size + b.size for a, b in rows)
+    tracemalloc.start()
+    distinct, counts = lm.sum_bigrams(rows)
+    names, table = lm.word_statistics(distinct, counts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert not rows and peak < 6 * given
+    want, n = np.unique(keys, return_counts=True)
+    assert (distinct == want).all() and (counts == n).all()
+    got = defaultdict(lambda: np.zeros(4, int))
+    for name, row in zip(names.tolist(), table):
+        got[name] += row
+    for name in got:
+        after = n[want >> np.uint64(32) == name]
+        before = np.count_nonzero(want & np.uint64(0xFFFFFFFF) == name)
+        assert got[name].tolist() == [before, (after == 1).sum(), (after == 2).sum(), (after > 2).sum()]
+    texts = pa.array(["a " * 700_000, None, "", "b " * 700_000, "c " * 2_000_000, "d"])
+    assert list(lm.slices(texts)) == [(0, 3), (3, 4), (4, 5), (5, 6)]
