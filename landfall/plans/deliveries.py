@@ -16,6 +16,8 @@ YEAR = tables.TEMPERATURE_YEAR
 # A month that is delivered wrongly at first, and its last delivery's time: older than the first one's.
 CORRECTED = f"{YEAR}-01"
 OLDER = 1_000_000_000_000
+# Rows of the corrected month to a file.
+FILE_ROWS = 1_000_000
 
 
 @query("scan_i94_year", ["src_i94"], f"SELECT * FROM src_i94 WHERE i94yr = {YEAR}")
@@ -36,32 +38,41 @@ def _fact_of_store(spark, sf, counts):
     return shapes.fact_of(spark, sf, facts.name_counts(counted, states, countries))
 
 
-def _deliver_month(spark, rows, landing, time=None):
-    """Put ``rows`` in the one file of the corrected month, with a time of its own if given."""
+def _deliver_month(spark, rows, landing, files=1, time=None):
+    """Put ``rows`` in the files of the corrected month, with a time of their own if given.
+
+    A row's file, of ``files``, follows from its key, so names are the same each time.
+    """
     made = scratch_path(spark, "delivery")
-    rows.withColumn("cicid", F.col("cicid").cast("double")).coalesce(1).write.parquet(made)
-    file = next(name for name in versions.children(spark, made) if name.endswith(".parquet"))
-    system, source = hadoop_path(spark, f"{made}/{file}")
+    rows.withColumn("cicid", F.col("cicid").cast("double")).repartition(files, "cicid").write.parquet(made)
     _, folder = hadoop_path(spark, f"{landing}/{CORRECTED}")
-    _, target = hadoop_path(spark, f"{landing}/{CORRECTED}/extract.parquet")
-    system.mkdirs(folder)
-    system.delete(target, False)
-    system.rename(source, target)
-    if time is not None:
-        system.setTimes(target, time, -1)
+    for name in versions.children(spark, made):
+        if not name.endswith(".parquet"):
+            continue
+        system, source = hadoop_path(spark, f"{made}/{name}")
+        _, target = hadoop_path(spark, f"{landing}/{CORRECTED}/extract-{name.split('-')[1]}.parquet")
+        system.mkdirs(folder)
+        system.delete(target, False)
+        system.rename(source, target)
+        if time is not None:
+            system.setTimes(target, time, -1)
 
 
 @query("incremental_redelivered", ["fact"], "SELECT * FROM fact")
 def incremental_redelivered(spark, sf):
-    """A month arrives twice under one name, the right one second and with the older time."""
+    """A month arrives twice under the same names, the right one second and with the older time."""
     landing, counts = scratch_path(spark, "landing"), scratch_path(spark, "counts")
     bounds = (f"{CORRECTED}-01", f"{YEAR}-02-01")
     for days in ({"end_day": bounds[0]}, {"first_day": bounds[1]}):
         landed(tables.admissions(spark, sf, **days), landing)
+    made = scratch_path(spark, "month")
     month = tables.admissions(spark, sf, *bounds)
-    _deliver_month(spark, month.where("cicid % 2 = 0"), landing)
+    month.write.parquet(made)
+    month = spark.read.schema(month.schema).parquet(made)
+    files = 1 + month.count() // FILE_ROWS
+    _deliver_month(spark, month.where("cicid % 2 = 0"), landing, files)
     add_increment(spark, landing, counts)
-    _deliver_month(spark, month, landing, OLDER)
+    _deliver_month(spark, month, landing, files, OLDER)
     add_increment(spark, landing, counts)
     return _fact_of_store(spark, sf, counts)
 

@@ -12,6 +12,7 @@ from test_job import files, landing  # noqa: F401
 
 from landfall import schemas
 from landfall.operators import facts
+from landfall.plans import deliveries, products
 from landfall.plans.job import JobConfig, run_job
 from landfall.sources import readers, versions
 from landfall.streaming import increments
@@ -310,3 +311,35 @@ def test_a_year_run_reads_no_other_year(spark, golden, files):  # noqa: F811
     assert result.total.first()[0] == 6
     assert rows_of(result.null_flags) == [(False,) * 4]
     assert {r["check"]: r["observed"] for r in result.report.collect()}["total arrivals"] == 6
+
+
+def test_a_large_month_lands_in_several_files(spark, golden, tmp_path):
+    """A month that no task should hold is split; small ones are not."""
+    rows = golden.admissions.select("*", F.explode(F.sequence(F.lit(1), F.lit(400)))).drop("col")
+    rows = rows.withColumn("i94mon", F.when(F.rand(3) < 0.9, 4.0).otherwise(5.0)).repartition(8)
+    advisory = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(advisory)
+    spark.conf.set(advisory, "4k")
+    try:
+        products.landed(rows, str(tmp_path))
+    finally:
+        spark.conf.set(advisory, before)
+    months = {p.name: len(parquet_files(p)) for p in tmp_path.iterdir() if p.is_dir()}
+    assert max(months.values()) > 1
+    assert rows_of(readers.read_admissions(spark, str(tmp_path)).select("cicid", "i94addr")) == rows_of(rows.select("cicid", "i94addr"))
+
+
+def test_a_month_of_several_files_is_redelivered(spark, golden, tmp_path):
+    """No task holds the month; the files of the second delivery replace those of the first by name."""
+    landing, counts = str(tmp_path / "in"), str(tmp_path / "counts")
+    rows = golden.admissions.select("*", F.explode(F.sequence(F.lit(0), F.lit(30))).alias("k"))
+    rows = rows.withColumn("cicid", F.col("cicid") * 31 + F.col("k")).drop("k")
+    names = []
+    for given, time in ((rows.where("cicid % 2 = 0"), None), (rows, deliveries.OLDER)):
+        deliveries._deliver_month(spark, given, landing, 4, time)
+        names.append(sorted(p.name for p in parquet_files(landing)))
+        add_increment(spark, landing, counts)
+    assert names[0] == names[1] and len(names[1]) == 4
+    held = increments._holding_counts(spark, counts, versions.latest(spark, counts))
+    want = facts.addressed(rows).count()
+    assert held.agg(F.sum("arrivals")).first()[0] == want
